@@ -62,7 +62,7 @@ def exact_median(df: DataFrame, keys: list[str], value: str, name: str = "median
     return (
         middle.withColumn("_rank", rank)
         .groupBy(*keys)
-        .agg((low + (high - low) * 0.5).alias(name))
+        .agg(((low + high) / 2).alias(name))
     )
 
 

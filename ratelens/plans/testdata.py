@@ -6,6 +6,7 @@ Each function is a plain projection, so the work of every query grows with the t
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ratelens.sources.tables import read_table
 
@@ -245,3 +246,20 @@ def source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     frames = {f"ratelens_{t}": table(spark, sf_dir, t) for t in used}
     text = _on(name, lambda t: "{ratelens_" + t + "}", escape=True)
     return spark.sql(text, **frames)
+
+
+def bronze(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Lake rows with the load date as the partition column."""
+    system = {"lake_tabular": "csv_tall", "lake_payload": "json"}[name]
+    return source(spark, sf_dir, name).select(
+        "*",
+        F.col("ingest_day").cast("string").alias("ingest_date"),
+        F.lit(system).alias("_source_system"),
+    )
+
+
+def bronze_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tabular and JSON lake rows together, by column name."""
+    return bronze(spark, sf_dir, "lake_tabular").unionByName(
+        bronze(spark, sf_dir, "lake_payload"), allowMissingColumns=True
+    )
