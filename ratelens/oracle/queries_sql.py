@@ -556,9 +556,45 @@ SELECTS = {
  cast(count(distinct rate_category) as integer) as rate_category_values,
  cast(count(distinct rate_unit) as integer) as rate_unit_values from comparable group by 1, 2
  having count(distinct rate_category) > 1 or count(distinct rate_unit) > 1""",
+    # Ingest operators.
+    "i01_content_hash": "select source_file_name, file_hash from files",
+    "i02_not_loaded": """select source_file_name, file_hash from files
+ where file_hash not in (select file_hash from files where doc_id % 3 = 0)""",
+    "i03_forced": """select source_file_name, file_hash from files where source_format = 'csv'
+ or file_hash not in (select file_hash from files where doc_id % 3 = 0)""",
+    "i12_charge_rows": """select * from lake_tabular where trim(billing_code) <> ''
+ and (trim(coalesce(gross_charge, '')) <> '' or trim(coalesce(discounted_cash_price, '')) <> ''
+  or trim(coalesce(negotiated_rate, '')) <> '')""",
+    "i18_safe_preview": r"""select doc_id, case when length(line) > 200 then line[1:200] || '...'
+ else line end as preview from (select doc_id, trim(regexp_replace(regexp_replace(text[1:400],
+ '[\x00-\x08\x0b\x0c\x0e-\x1f]', ' ', 'g'), '\s+', ' ', 'g')) as line from documents)""",
+    "i19_extract_records": """select 'events_' || event_type || '.json' as source_file_name,
+ cast(event_id as varchar) as run_id, ts as ingested_at, 'ndjson_line' as record_path,
+ event_type as billing_code, cast(null as varchar) as billing_code_type,
+ event_type as description, cast(null as varchar) as payer, cast(null as varchar) as plan,
+ cast(user_id as double) as negotiated_rate, cast(null as varchar) as rate_type,
+ cast(null as varchar) as billing_class, cast(null as varchar) as payment_methodology,
+ cast(null as varchar) as payment_unit from events""",
+    "i23_key_profile": """select count(*) as json_lines, (select string_agg(k, ',' order by k) from (
+  select distinct unnest(json_keys(props)) as k
+  from (select props from events order by event_id limit 2000))) as sample_keys
+ from (select props from events order by event_id limit 2000)
+ where props like '{%' and json_valid(props)""",
+    "i24_not_registered": """select distinct source_file_name from charges
+ where source_file_name not in (select source_file_name from csv_registry where status = 'success'
+  union all select source_file_name from json_registry where status = 'success')""",
+    "i25_load_counts": """select source_file_name, count(raw) as rows_loaded,
+ count(raw) > 0 as verified from (select distinct source_file_name from csv_registry
+ union select distinct source_file_name from json_registry) f
+ left join landing_tall using (source_file_name) group by 1""",
+    "s07_lenient_objects": """select line, count(*) as row_count from (
+ select trim(unnest(string_split(text, chr(10)))) as line from documents
+ union all select trim(props) from events) where line like '{%' and json_valid(line) group by 1""",
 }
 
-EXTRA = {**LAKE, "twice": """select * from charges
+EXTRA = {**LAKE, "files": """select 'doc_' || doc_id as source_file_name,
+ case when doc_id % 2 = 0 then 'csv' else 'json' end as source_format, sha256(text) as file_hash,
+ doc_id from documents""", "twice": """select * from charges
  union all select * replace ('retry-' || run_id as run_id) from charges"""}
 
 

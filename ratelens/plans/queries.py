@@ -12,6 +12,7 @@ from ratelens.functions.names import (
     file_display_name,
     hospital_match_name,
     match_text,
+    safe_preview,
 )
 from ratelens.functions.rates import RATE_CATEGORIES, parse_rate, strict_amount
 from ratelens.operators import (
@@ -28,6 +29,7 @@ from ratelens.plans import testdata
 from ratelens.plans.marts import from_test_tables
 from ratelens.schemas import SOURCE_SYSTEMS
 from ratelens.session import configure
+from ratelens.sources import csv_files, files, json_files
 
 QUERIES = {}
 
@@ -561,3 +563,104 @@ def _(m, spark, sf_dir):
 
 mart("q16_comparable_groups", lambda m: quality.mixed_attributes(
     m.fct_rates_comparable, ["hospital_id", "billing_code"], ["rate_category", "rate_unit"]))
+
+
+# Ingest operators over the text tables.
+def _documents_as_files(spark, sf_dir):
+    """Documents in the role of files: a name, a format and the hash of the content."""
+    return testdata.table(spark, sf_dir, "documents").select(
+        F.concat(F.lit("doc_"), F.col("doc_id").cast("string")).alias("source_file_name"),
+        F.when(F.col("doc_id") % 2 == 0, "csv").otherwise("json").alias("source_format"),
+        F.sha2("text", 256).alias("file_hash"),
+        "doc_id",
+    )
+
+
+def _loaded_before(spark, sf_dir):
+    """A manifest in which every third document succeeded and every third failed."""
+    status = F.when(F.col("doc_id") % 3 == 0, "SUCCESS").otherwise("FAILED")
+    return (
+        _documents_as_files(spark, sf_dir)
+        .filter("doc_id % 3 < 2")
+        .select("source_file_name", "file_hash", status.alias("status"))
+    )
+
+
+@query("i01_content_hash")
+def _(m, spark, sf_dir):
+    return _documents_as_files(spark, sf_dir).select("source_file_name", "file_hash")
+
+
+@query("i02_not_loaded")
+def _(m, spark, sf_dir):
+    return files.not_loaded(
+        _documents_as_files(spark, sf_dir), _loaded_before(spark, sf_dir)
+    ).select("source_file_name", "file_hash")
+
+
+@query("i03_forced")
+def _(m, spark, sf_dir):
+    return files.not_loaded(
+        _documents_as_files(spark, sf_dir), _loaded_before(spark, sf_dir), forced=["pt_csv"]
+    ).select("source_file_name", "file_hash")
+
+
+@query("i12_charge_rows")
+def _(m, spark, sf_dir):
+    return csv_files.charge_rows(source(spark, sf_dir, "lake_tabular"))
+
+
+@query("i18_safe_preview")
+def _(m, spark, sf_dir):
+    documents = testdata.table(spark, sf_dir, "documents")
+    return documents.select("doc_id", safe_preview("text").alias("preview"))
+
+
+RECORD = """concat('{"', case event_id % 3 when 0 then 'code' when 1 then 'billing_code'
+ else 'service_code' end, '":"', event_type, '","', case event_id % 2 when 0 then 'price'
+ else 'rate' end, '":"', cast(user_id as string), '","name":" ', event_type, ' ","unit":"",',
+ '"k":', regexp_extract(props, '([0-9]+)', 1), '}')"""
+
+
+@query("i19_extract_records")
+def _(m, spark, sf_dir):
+    events = testdata.table(spark, sf_dir, "events")
+    records = events.select(
+        F.concat(F.lit("events_"), F.col("event_type"), F.lit(".json")).alias("source_file_name"),
+        F.col("event_id").cast("string").alias("run_id"),
+        F.col("ts").alias("ingested_at"),
+        F.parse_json(F.expr(RECORD)).alias("record"),
+    )
+    rates_ = json_files.extract_records(records, json_files.LINE_PATH)
+    return oracle_amounts(rates_.drop("raw_rate"))
+
+
+@query("i23_key_profile")
+def _(m, spark, sf_dir):
+    lines = testdata.table(spark, sf_dir, "events").select("event_id", F.col("props").alias("line"))
+    return json_files.key_profile(lines, "event_id")
+
+
+@query("i24_not_registered")
+def _(m, spark, sf_dir):
+    known = m.csv_registry.select("source_file_name", "status").unionByName(
+        m.json_registry.select("source_file_name", "status")
+    )
+    listed = source(spark, sf_dir, "charges").select("source_file_name").distinct()
+    return files.not_registered(listed, known)
+
+
+@query("i25_load_counts")
+def _(m, spark, sf_dir):
+    registered = m.csv_registry.unionByName(m.json_registry, allowMissingColumns=True)
+    return files.load_counts(registered, source(spark, sf_dir, "landing_tall"))
+
+
+@query("s07_lenient_objects")
+def _(m, spark, sf_dir):
+    """JSON lines among all lines of the documents and the event properties."""
+    documents = testdata.table(spark, sf_dir, "documents")
+    prose = documents.select(F.explode(F.split("text", "\n")).alias("line"))
+    props = testdata.table(spark, sf_dir, "events").select(F.col("props").alias("line"))
+    found = json_files.lenient_objects(prose.unionByName(props))
+    return found.groupBy("line").agg(F.count("*").alias("row_count"))
