@@ -10,6 +10,7 @@ FIVE_DIGITS = "^[0-9]{5}$"
 THREE_OR_FOUR_DIGITS = "^[0-9]{3,4}$"
 THREE_DIGITS = "^[0-9]{3}$"
 FOUR_DIGITS = "^[0-9]{4}$"
+TEN_OR_ELEVEN = "(?s)^.{10,11}$"
 FIVE_ALPHANUMERIC = "^[A-Z0-9]{5}$"
 SEVEN_ALPHANUMERIC = "^[A-Z0-9]{7}$"
 THREE_TO_SEVEN_ALPHANUMERIC = "^[A-Z0-9]{3,7}$"
@@ -75,6 +76,10 @@ def infer_code_type(code, code_type) -> Column:
     return F.when(F.lower(stated).isin("unknown", ""), classify_code(code)).otherwise(stated)
 
 
+def _tail(bare: Column) -> Column:
+    return F.when(F.length(bare) >= 5, F.right(bare, F.lit(5))).otherwise(bare)
+
+
 def stored_form(kind, code) -> Column:
     """The form a code of a normalised type is stored in.
 
@@ -83,10 +88,7 @@ def stored_form(kind, code) -> Column:
     kind = as_col(kind)
     bare = F.trim(as_col(code).cast("string"))
     return (
-        F.when(
-            kind == "CPT",
-            F.when(F.length(bare) >= 5, F.right(bare, F.lit(5))).otherwise(bare),
-        )
+        F.when(kind == "CPT", _tail(bare))
         .when(kind.isin("HCPCS", "ICD_10_PCS"), F.upper(bare))
         .when(kind == "ICD_10_CM", _strip(F.upper(bare), "."))
         .when(kind == "NDC", _strip(bare, "-", " ", "."))
@@ -110,35 +112,39 @@ def validation_code(code, code_type) -> Column:
     )
 
 
-def issue_of(kind, stored) -> Column:
-    """Why a stored code is malformed for its normalised type, NULL when it is fine."""
-    kind, stored = as_col(kind), as_col(stored)
+def issue_of(kind, code) -> Column:
+    """Why a code is malformed for its normalised type, NULL when it is fine.
 
-    def breaks(types, pattern, column=stored):
-        return kind.isin(*types) & ~column.rlike(pattern)
-
-    return (
-        F.when(breaks(["CPT"], FIVE_DIGITS), "cpt_expected_5_digits")
-        .when(breaks(["HCPCS"], FIVE_ALPHANUMERIC), "hcpcs_expected_5_alphanum")
-        .when((kind == "NDC") & ~F.length(stored).isin(10, 11), "ndc_not_10_or_11_digits")
-        .when(breaks(["REVENUE"], THREE_OR_FOUR_DIGITS), "revenue_expected_3_or_4_digits")
-        .when(breaks(["RC"], THREE_OR_FOUR_DIGITS), "rc_expected_3_or_4_digits")
-        .when(breaks(["CDM"], THREE_OR_FOUR_DIGITS), "cdm_expected_3_or_4_digits")
-        .when(breaks(["ICD_10_PCS"], SEVEN_ALPHANUMERIC), "icd_10_pcs_expected_7_alphanum")
-        .when(
-            breaks(["ICD_10_CM"], THREE_TO_SEVEN_ALPHANUMERIC),
-            "icd_10_cm_expected_3_to_7_alphanum",
-        )
-        .when(breaks(DRG_TYPES, THREE_DIGITS), "drg_expected_3_digits")
-        .when(breaks(["HIPPS"], FIVE_ALPHANUMERIC, F.upper(stored)), "hipps_expected_5_alphanum")
-        .when(breaks(APC_TYPES, FOUR_DIGITS), "apc_eapg_expected_4_digits")
-        .when(~kind.isin(*KNOWN_CODE_TYPES), "unknown_code_type")
-    )
+    Each type is met by one branch that looks at that type's stored form only, which keeps the
+    generated code small.  A NULL code raises no issue.
+    """
+    kind = as_col(kind)
+    bare = F.trim(as_col(code).cast("string"))
+    upper = F.upper(bare)
+    rules = [
+        (["CPT"], _tail(bare), FIVE_DIGITS, "cpt_expected_5_digits"),
+        (["HCPCS"], upper, FIVE_ALPHANUMERIC, "hcpcs_expected_5_alphanum"),
+        (["NDC"], _strip(bare, "-", " ", "."), TEN_OR_ELEVEN, "ndc_not_10_or_11_digits"),
+        (["REVENUE"], bare, THREE_OR_FOUR_DIGITS, "revenue_expected_3_or_4_digits"),
+        (["RC"], bare, THREE_OR_FOUR_DIGITS, "rc_expected_3_or_4_digits"),
+        (["CDM"], bare, THREE_OR_FOUR_DIGITS, "cdm_expected_3_or_4_digits"),
+        (["ICD_10_PCS"], upper, SEVEN_ALPHANUMERIC, "icd_10_pcs_expected_7_alphanum"),
+        (["ICD_10_CM"], _strip(upper, "."), THREE_TO_SEVEN_ALPHANUMERIC,
+         "icd_10_cm_expected_3_to_7_alphanum"),
+        (DRG_TYPES, bare, THREE_DIGITS, "drg_expected_3_digits"),
+        (["HIPPS"], upper, FIVE_ALPHANUMERIC, "hipps_expected_5_alphanum"),
+        (APC_TYPES, bare, FOUR_DIGITS, "apc_eapg_expected_4_digits"),
+    ]
+    types, form, pattern, reason = rules[0]
+    issue = F.when(kind.isin(*types), F.when(~form.rlike(pattern), reason))
+    for types, form, pattern, reason in rules[1:]:
+        issue = issue.when(kind.isin(*types), F.when(~form.rlike(pattern), reason))
+    return issue.when(~kind.isin(*KNOWN_CODE_TYPES), "unknown_code_type")
 
 
 def code_issue(code, code_type) -> Column:
-    """``issue_of`` for a raw code and type.  A NULL code raises no issue."""
-    return issue_of(code_type_norm(code_type), storage_code(code, code_type))
+    """``issue_of`` for a raw type."""
+    return issue_of(code_type_norm(code_type), code)
 
 
 def code_is_valid(code, code_type) -> Column:

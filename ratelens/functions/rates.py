@@ -68,27 +68,39 @@ def rate_type_norm(rate_type) -> Column:
     return F.lower(F.trim(text(rate_type)))
 
 
-def rate_category(rate_type, amount, gross, cash, minimum, maximum) -> Column:
-    """Category of a charge row.  A blank type takes that of the typed column it repeats."""
-    kind = rate_type_norm(rate_type)
-    category = F.when(F.lit(False), F.lit(None).cast("string"))
-    for name, spellings in RATE_TYPES.items():
+def category_of(kind, amount, gross, cash, minimum, maximum) -> Column:
+    """Category for a normalised rate type.  A blank one takes that of the column it repeats."""
+    kind = as_col(kind)
+    (name, spellings), *others = RATE_TYPES.items()
+    category = F.when(kind.isin(*spellings), name)
+    for name, spellings in others:
         category = category.when(kind.isin(*spellings), name)
     for name, typed in zip(("gross", "cash", "min", "max"), (gross, cash, minimum, maximum)):
         category = category.when((kind == "") & (as_col(amount) == as_col(typed)), name)
     return category.when(kind == "", "negotiated").otherwise("other")
 
 
+def rate_category(rate_type, *amounts) -> Column:
+    """``category_of`` for a raw rate type; ``amounts`` as there."""
+    return category_of(rate_type_norm(rate_type), *amounts)
+
+
 def lake_rate_category(rate_type) -> Column:
     kind = F.upper(text(rate_type))
-    category = F.when(F.lit(False), F.lit(None).cast("string"))
-    for name, spellings in LAKE_RATE_TYPES.items():
+    (name, spellings), *others = LAKE_RATE_TYPES.items()
+    category = F.when(kind.isin(*spellings), name)
+    for name, spellings in others:
         category = category.when(kind.isin(*spellings), name)
     return category.otherwise("other")
 
 
+def unit_of(kind) -> Column:
+    """Unit for a normalised rate type."""
+    return F.when(as_col(kind).contains("percent"), "percent").otherwise("dollars")
+
+
 def rate_unit(rate_type) -> Column:
-    return F.when(rate_type_norm(rate_type).contains("percent"), "percent").otherwise("dollars")
+    return unit_of(rate_type_norm(rate_type))
 
 
 def comparability_key(code_type, category, unit) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ratelens.functions import text
 from ratelens.functions.codes import KNOWN_CODE_TYPES, code_type_norm, code_type_or_unknown
-from ratelens.functions.codes import issue_of, stored_form
+from ratelens.functions.codes import issue_of
 from ratelens.functions.rates import (
     COMPARABLE_CATEGORIES,
     RATE_CATEGORIES,
@@ -71,7 +71,7 @@ def code_issues(semantic: DataFrame) -> DataFrame:
     kind = code_type_norm("billing_code_type")
     return (
         counted.withColumn(
-            "issue_reason", issue_of(kind, stored_form(kind, "billing_code"))
+            "issue_reason", issue_of(kind, "billing_code")
         )
         .filter("issue_reason is not null")
         .select("billing_code", "billing_code_type", "issue_reason", "row_count")

@@ -3,16 +3,18 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ratelens.functions import text
 from ratelens.functions.codes import code_type_or_unknown, issue_of, stored_form
 from ratelens.functions.keys import surrogate_key
 from ratelens.functions.names import match_text
 from ratelens.functions.rates import (
     TYPED_COLUMNS,
+    category_of,
     comparability_key,
     comparability_reason,
     lake_rate_category,
-    rate_category,
-    rate_unit,
+    rate_type_norm,
+    unit_of,
 )
 from ratelens.operators.dims import with_families, with_hospital_id
 from ratelens.operators.staging import newest_per_key
@@ -88,18 +90,17 @@ def semantic_charges(base: DataFrame, hospitals: DataFrame) -> DataFrame:
     charges = with_hospital_id(
         base.filter(F.col("billing_code").isNotNull()), hospitals
     ).withColumns(
-        {
-            "_category": F.when(
-                _present("rate_amount"),
-                rate_category(
-                    "rate_type", "rate_amount", "gross_charge", "discounted_cash", "minimum",
-                    "maximum",
-                ),
+        {"_type": rate_type_norm("rate_type"), "_kind": F.lower(text("rate_type"))}
+    ).withColumn(
+        "_category",
+        F.when(
+            _present("rate_amount"),
+            category_of(
+                "_type", "rate_amount", "gross_charge", "discounted_cash", "minimum", "maximum"
             ),
-            "_kind": F.lower(F.coalesce("rate_type", F.lit(""))),
-        }
+        ),
     )
-    rates = [_rate(F.col("_category"), "rate_amount", rate_unit("rate_type"),
+    rates = [_rate(F.col("_category"), "rate_amount", unit_of("_type"),
                    F.col("_category").isNotNull())]
     for category, (amount, own_types) in TYPED_COLUMNS.items():
         taken = F.col("_category").eqNullSafe(category)
@@ -153,7 +154,7 @@ def comparable_rates(semantic: DataFrame) -> DataFrame:
         .withColumn("billing_code", stored_form("billing_code_type", "billing_code_raw"))
         .withColumns(
             {
-                "billing_code_issue_reason": issue_of("billing_code_type", "billing_code"),
+                "billing_code_issue_reason": issue_of("billing_code_type", "billing_code_raw"),
                 "comparability_key": comparability_key(
                     "billing_code_type", "rate_category", "rate_unit"
                 ),

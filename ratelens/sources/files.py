@@ -19,10 +19,8 @@ def base_name(path) -> Column:
 def format_of(path: str = "source_path") -> Column:
     """``csv`` or ``json`` by extension, NULL for anything else."""
     extension = F.lower(F.regexp_extract(path, r"(\.[^./\\]+)$", 1))
-    column = F.when(F.lit(False), F.lit(None).cast("string"))
-    for suffix, name in FORMATS.items():
-        column = column.when(extension == suffix, name)
-    return column
+    names = [F.when(extension == suffix, name) for suffix, name in FORMATS.items()]
+    return F.coalesce(*names)
 
 
 def _binary(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
