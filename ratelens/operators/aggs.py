@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratelens.operators.median import exact_median, join_on
+from ratelens.operators.median import exact_summary
 from ratelens.schemas import COMPARE, COMPARE_GRAIN
 
 
@@ -20,19 +20,26 @@ def hospital_procedure_compare(harmonized: DataFrame, exact: bool = False) -> Da
         .withColumn("rate_category", F.lower(F.trim("rate_category")))
         .filter("rate_category <> 'other'")
     )
-    measures = [
-        F.min("rate_amount").alias("min_rate"),
-        F.max("rate_amount").alias("max_rate"),
-        F.count("*").alias("row_count"),
-        F.max("ingested_at").alias("last_ingested_at"),
-    ]
     if exact:
-        medians = exact_median(rates, grain, "rate_amount", "approx_median_rate")
-        return join_on(rates.groupBy(*grain).agg(*measures), medians, grain).select(*COMPARE)
+        summary = exact_summary(rates, grain, "rate_amount", latest="ingested_at")
+        return summary.select(
+            *grain,
+            F.col("lowest").alias("min_rate"),
+            F.col("highest").alias("max_rate"),
+            F.col("median").alias("approx_median_rate"),
+            "row_count",
+            F.col("latest").alias("last_ingested_at"),
+        )
     middle = F.percentile_approx("rate_amount", F.lit(0.5), F.lit(10000))
     return (
         rates.groupBy(*grain)
-        .agg(*measures, middle.alias("approx_median_rate"))
+        .agg(
+            F.min("rate_amount").alias("min_rate"),
+            F.max("rate_amount").alias("max_rate"),
+            middle.alias("approx_median_rate"),
+            F.count("*").alias("row_count"),
+            F.max("ingested_at").alias("last_ingested_at"),
+        )
         .select(*COMPARE)
     )
 

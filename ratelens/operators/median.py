@@ -14,30 +14,41 @@ def _bucket(value: Column) -> Column:
     return F.when(value > 0, shifted).when(value < 0, -shifted).otherwise(F.lit(0))
 
 
-def exact_median(df: DataFrame, keys: list[str], value: str, name: str = "median") -> DataFrame:
-    """Median of ``value`` per group, one row per group that has a value.
+def exact_summary(
+    df: DataFrame, keys: list[str], value: str, latest: str | None = None
+) -> DataFrame:
+    """Count, minimum, maximum and median of ``value`` per group that has one.
 
     Equal values are counted before anything is compared.  Group totals per value bucket then tell
     which bucket holds the middle ranks, and only that bucket is ordered, so neither a hot group
-    nor the whole table is ever sorted in one task.
+    nor the whole table is ever sorted in one task.  ``latest`` adds the maximum of that column.
     """
     amount = F.col("_value")
+    stamp = F.max(latest) if latest else F.lit(None)
     counted = (
-        df.select(*keys, F.col(value).cast("double").alias("_value"))
+        df.select(*df.columns, F.col(value).cast("double").alias("_value"))
         .filter(amount.isNotNull())
         .groupBy(*keys, "_value")
-        .agg(F.count("*").alias("_n"))
+        .agg(F.count("*").alias("_n"), stamp.alias("_latest"))
         .withColumn("_bucket", _bucket(amount))
     )
     along = Window.partitionBy(*keys).orderBy("_bucket")
     whole = Window.partitionBy(*keys)
     buckets = (
         counted.groupBy(*keys, "_bucket")
-        .agg(F.sum("_n").alias("_in"))
+        .agg(
+            F.sum("_n").alias("_in"),
+            F.min("_value").alias("_least"),
+            F.max("_value").alias("_most"),
+            F.max("_latest").alias("_newest"),
+        )
         .withColumns(
             {
                 "_upto": F.sum("_in").over(along.rowsBetween(Window.unboundedPreceding, 0)),
                 "_total": F.sum("_in").over(whole),
+                "_least": F.min("_least").over(whole),
+                "_most": F.max("_most").over(whole),
+                "_newest": F.max("_newest").over(whole),
             }
         )
         .withColumns(
@@ -53,16 +64,33 @@ def exact_median(df: DataFrame, keys: list[str], value: str, name: str = "median
     middle = (
         counted.alias("c")
         .join(buckets.alias("b"), same)
-        .select(*[f"c.{k}" for k in (*keys, "_bucket", "_value", "_n")], "_before", "_low", "_high")
+        .select(
+            *[f"c.{k}" for k in (*keys, "_bucket", "_value", "_n", "_latest")],
+            "_before", "_low", "_high", "_total", "_least", "_most", "_newest",
+        )
     )
     within = Window.partitionBy(*keys, "_bucket").orderBy("_value")
     rank = F.col("_before") + F.sum("_n").over(within.rowsBetween(Window.unboundedPreceding, 0))
     low = F.min(F.when(F.col("_rank") >= F.col("_low"), amount))
     high = F.min(F.when(F.col("_rank") >= F.col("_high"), amount))
+    # Reading ``_latest`` on both sides of the join keeps them the same plan, which runs once.
     return (
         middle.withColumn("_rank", rank)
         .groupBy(*keys)
-        .agg(((low + high) / 2).alias(name))
+        .agg(
+            F.max("_total").alias("row_count"),
+            F.min("_least").alias("lowest"),
+            F.max("_most").alias("highest"),
+            ((low + high) / 2).alias("median"),
+            F.max(F.greatest("_newest", "_latest")).alias("latest"),
+        )
+    )
+
+
+def exact_median(df: DataFrame, keys: list[str], value: str, name: str = "median") -> DataFrame:
+    """Median of ``value`` per group, one row per group that has a value."""
+    return exact_summary(df.select(*keys, value), keys, value).select(
+        *keys, F.col("median").alias(name)
     )
 
 
