@@ -8,7 +8,7 @@ from ratelens.functions import as_col, blank_to_null, text
 # Preamble keys that may hold the facility name, in order of preference.
 NAME_KEYS = ("hospital_name", "hospital", "facility_name", "Hospital Name", "Facility Name")
 STAGING_NAME_KEYS = NAME_KEYS[:3]
-# Fixed value: a facility id in front of a name, e.g. "45 0503121 Centerpoint Medical Center".
+# Fixed value: a facility id in front of a name, e.g. "45 0503121 General Hospital".
 FACILITY_PREFIX = r"^\d{1,3}\s+\d{5,}\s*"
 
 

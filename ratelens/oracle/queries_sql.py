@@ -276,7 +276,7 @@ SELECTS = {
     "a01_payers": "select * from dim_payer",
     "a01_payer_families": "select payer_family, plan_family from dim_payer_harmonized",
     "a02_hospital_comparison": detail(f"{FILTERS} and a.payer_family = 'Aetna'"),
-    "a02_hospital_comparison_gross": detail("""a.billing_code = '0010' and a.rate_category = 'gross'
+    "a02_hospital_comparison_gross": detail("""a.billing_code = '0014' and a.rate_category = 'gross'
  and a.rate_unit = 'dollars' and a.payer_family = 'Aetna' and a.plan_family = 'PPO'
  and a.billing_code_type = 'RC'"""),
     "a03_top_codes": top_codes("true", 100),
@@ -520,7 +520,7 @@ SELECTS = {
  or (k = 'ICD_10_CM' and not regexp_full_match(normalized_billing_code, '[A-Z0-9]{{3,7}}'))""",
     "q07_unknown_share": """select * from (select count(*) as total,
  count(*) filter (billing_code_type = 'UNKNOWN') as unknown_count from dim_procedure)
- where total > 0 and cast(unknown_count as double) / total >= 0.1""",
+ where total > 0 and cast(unknown_count as double) / total >= 0.01""",
     "q08_numeric_prefixes": r"""select hospital_id, hospital_name, hospital_name_clean,
  source_file_name from dim_hospital
  where regexp_matches(trim(hospital_name_clean), '^\d{1,3}\s+\d{5,}')""",

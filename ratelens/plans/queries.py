@@ -323,7 +323,7 @@ mart("a01_payer_families", analyst.payer_families)
 mart("a02_hospital_comparison",
      lambda m: analyst.hospital_comparison(m, payer_family="Aetna", **FILTERS))
 mart("a02_hospital_comparison_gross", lambda m: analyst.hospital_comparison(
-    m, billing_code="0010", payer_family="Aetna", rate_category="gross", rate_unit="dollars",
+    m, billing_code="0014", payer_family="Aetna", rate_category="gross", rate_unit="dollars",
     plan_family="PPO", billing_code_type="RC"))
 mart("a03_top_codes", lambda m: analyst.top_codes(m))
 mart("a03_top_codes_by_type",
@@ -510,7 +510,7 @@ mart("q04_procedure_relationship", lambda m: quality.relationships(
 mart("q05_not_empty", lambda m: quality.not_empty(
     m.agg_hospital_procedure_compare, "agg_hospital_procedure_compare"))
 mart("q06_code_formats", lambda m: quality.code_formats(m.dim_procedure))
-mart("q07_unknown_share", lambda m: quality.unknown_share(m.dim_procedure, 0.1))
+mart("q07_unknown_share", lambda m: quality.unknown_share(m.dim_procedure, 0.01))
 mart("q08_numeric_prefixes", lambda m: quality.numeric_prefixes(m.dim_hospital))
 mart("q09_invalid_codes", lambda m: quality.invalid_codes(
     agg_hospital_procedure_compare=m.agg_hospital_procedure_compare,

@@ -145,7 +145,21 @@ def merge_charges(path: str, base: DataFrame, hospitals: DataFrame, staging: str
     columns = fresh.columns
     merged = kept.select(*columns).unionByName(fresh)
     merged.write.mode("overwrite").parquet(f"{staging}/merged")
-    overwrite_partitions(
-        spark.read.parquet(f"{staging}/merged").sortWithinPartitions("ingest_day", *CLUSTERED_BY),
-        path, "ingest_day",
+    merged = spark.read.parquet(f"{staging}/merged")
+    left_over = days.join(merged.select("ingest_day").distinct(), "ingest_day", "left_anti")
+    if left_over.isEmpty():
+        overwrite_partitions(
+            merged.sortWithinPartitions("ingest_day", *CLUSTERED_BY), path, "ingest_day"
+        )
+        return
+    # A day lost its last row.  Replacing partitions cannot remove one, so the table is replaced.
+    others = target.join(F.broadcast(days), "ingest_day", "left_anti").select(*columns)
+    others.unionByName(merged).write.mode("overwrite").parquet(f"{staging}/table")
+    (
+        spark.read.parquet(f"{staging}/table")
+        .sortWithinPartitions("ingest_day", *CLUSTERED_BY)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
+        .partitionBy("ingest_day")
+        .parquet(path)
     )

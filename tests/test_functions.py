@@ -63,12 +63,12 @@ def test_names(spark):
     check(spark, cases, names.match_text("a"), "a string")
     check(
         spark,
-        [("123_saint_lukes-north_standardcharges.csv", "Saint Lukes North")],
+        [("123_saint_marys-north_standardcharges.csv", "Saint Marys North")],
         names.file_display_name("a"), "a string",
     )
     check(
         spark,
-        [("45 0503121 Centerpoint Medical Center", "Centerpoint Medical Center"),
+        [("45 0503121 General Hospital", "General Hospital"),
          ("123 Main Street", "123 Main Street")],
         names.clean_hospital_name("a"), "a string",
     )

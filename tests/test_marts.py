@@ -135,19 +135,27 @@ def test_edited_seed_with_repeated_key(spark, marts):
     assert not rates.filter("payer_family = 'A'").isEmpty()
 
 
-def test_incremental_merge_on_disk(spark, marts, tmp_path):
+@pytest.mark.parametrize("whole_day", [False, True])
+def test_incremental_merge_on_disk(spark, marts, tmp_path, whole_day):
+    """Five old rows, or all rows of a day, come back under a new day."""
     path, work = str(tmp_path / "fact"), str(tmp_path / "work")
     cut = datetime.datetime(1997, 1, 1)
     old = marts.fct_standard_charges.filter(F.col("ingested_at") < cut)
     sinks.write_charges(old, path)
-    moved = marts.base.filter(F.col("ingested_at") < cut).orderBy("standard_charge_sk").limit(5)
+    first_day = old.agg(F.min("ingested_at")).first()[0]
+    moved = marts.base.filter(F.col("ingested_at") < cut)
+    if whole_day:
+        moved = moved.filter(F.col("ingested_at") == first_day)
+    else:
+        moved = moved.orderBy("standard_charge_sk").limit(5)
     late = moved.withColumn("ingested_at", F.lit("1999-05-05").cast("timestamp_ntz"))
     base = marts.base.join(moved.select("standard_charge_sk"), "standard_charge_sk", "left_anti")
     sinks.merge_charges(path, base.unionByName(late), marts.hospital_lookup, work)
     table = spark.read.parquet(path)
     assert table.count() == marts.base.count()
     assert quality.unique(table, "standard_charge_sk").isEmpty()
-    assert table.filter("ingest_day = date'1999-05-05'").count() == 5
+    assert table.filter("ingest_day = date'1999-05-05'").count() == moved.count()
+    assert whole_day == table.filter(F.col("ingest_day") == first_day.date()).isEmpty()
 
 
 def test_exports_and_results(spark, marts, tmp_path):
