@@ -1,6 +1,6 @@
 """Facts: charges, categorised rates, comparable rates and rejects."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratelens.functions import text
@@ -215,9 +215,26 @@ def harmonized_by_dimension(comparable: DataFrame, families: DataFrame) -> DataF
 
 
 def newest_rejects(comparable: DataFrame, limit: int = 1_000_000) -> DataFrame:
-    """The most recent rates that may not be compared."""
+    """The most recent rates that may not be compared.
+
+    A limit this large would bring that many rows of every task to one place, so counts per day
+    first tell which days can hold the newest rows, and only those are sorted.
+    """
+    rejects = comparable.filter(~F.col("is_comparable"))
+    day = F.to_date("ingested_at")
+    newer = Window.orderBy(F.col("day").desc_nulls_last()).rowsBetween(
+        Window.unboundedPreceding, 0
+    )
+    # The window runs over one row per calendar day.
+    enough = (
+        rejects.groupBy(day.alias("day"))
+        .agg(F.count("*").alias("n"))
+        .withColumn("upto", F.sum("n").over(newer))
+        .filter(F.col("upto") >= limit)
+    )
+    oldest = enough.agg(F.max("day")).scalar()
     return (
-        comparable.filter(~F.col("is_comparable"))
+        rejects.filter(oldest.isNull() | (day >= oldest))
         .orderBy(F.col("ingested_at").desc_nulls_last(), "semantic_charge_sk")
         .limit(limit)
         .drop(

@@ -155,7 +155,9 @@ def mixed_attributes(df: DataFrame, keys: list[str], attributes: list[str]) -> D
     """Groups whose rates may not be compared: an attribute that must agree has several values."""
     distinct = df.select(*keys, *attributes).distinct()
     counts = [
-        F.size(F.collect_set(F.coalesce(F.col(a).cast("string"), F.lit("")))).alias(f"{a}_values")
+        F.count_distinct(F.coalesce(F.col(a).cast("string"), F.lit("")))
+        .cast("int")
+        .alias(f"{a}_values")
         for a in attributes
     ]
     several = reduce(lambda a, b: a | b, [F.col(f"{a}_values") > 1 for a in attributes])

@@ -185,3 +185,12 @@ def test_base_of_kinds(spark, sf_dir):
     charges = testdata.source(spark, sf_dir, "charges")
     assert staging.base_of("landing", landing=[charges]).count() == staging.charge_base(charges).count()
     assert isinstance(from_test_tables(spark, sf_dir), Marts)
+
+
+@pytest.mark.parametrize("limit", [1, 100, 10_000_000])
+def test_newest_rejects(marts, limit):
+    rows = marts.fct_rates_comparable.filter("not is_comparable").collect()
+    rows.sort(key=lambda r: r.semantic_charge_sk)
+    rows.sort(key=lambda r: r.ingested_at, reverse=True)
+    got = facts.newest_rejects(marts.fct_rates_comparable, limit).collect()
+    assert {r.semantic_charge_sk for r in got} == {r.semantic_charge_sk for r in rows[:limit]}
