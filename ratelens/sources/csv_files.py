@@ -19,6 +19,8 @@ CODE_WORDS = ("billing_code", "code", "cpt", "hcpcs", "revenue", "ndc", "msdrg",
 RATE_WORDS = (
     "negotiated", "gross", "cash", "min", "max", "standard_charge", "rate", "charge", "price",
 )
+# Fields that span lines cannot be told from broken ones by lines alone; such files are not read.
+OPEN_QUOTES = "quoted line breaks in the file"
 DELIMITERS = (",", "|", "\t", ";")
 MIN_PREAMBLE_COLUMNS = 5
 MAX_HEADER_COLUMNS = 200
@@ -312,8 +314,7 @@ def registry_rows(
     counts = loaded.groupBy("source_file_name").agg(F.count("*").alias("rows_loaded"))
     named = profile.withColumn("source_file_name", base_name("source_path"))
     rows = F.coalesce("rows_loaded", F.lit(0))
-    # Fields that span lines cannot be told from broken ones by lines alone; such files are named.
-    problem = F.when(F.col("open_quotes") > 0, "quoted line breaks in the file").when(
+    problem = F.when(F.col("open_quotes") > 0, OPEN_QUOTES).when(
         rows == 0, "no rows loaded"
     )
     return named.join(counts, "source_file_name", "left").select(

@@ -180,6 +180,18 @@ def test_bronze_and_silver(spark, drop, tmp_path):
         lake.run_silver(spark, target, "2024-01-02", threshold=0.01)
 
 
+def test_quoted_line_breaks_are_reported(spark, tmp_path):
+    root, target = tmp_path / "drop", str(tmp_path / "lake")
+    root.mkdir()
+    (root / "good.csv").write_text(PREAMBLE_CSV)
+    (root / "open.csv").write_text(PREAMBLE_CSV + '1,"two\nlines",1,1,1,A,B\n')
+    summary = lake.run_bronze(spark, str(root), target, "2024-01-02").first()
+    assert (summary.ingested, summary.failed) == (1, 1)
+    failed = spark.read.parquet(f"{target}/manifest").filter("status = 'FAILED'").collect()
+    assert [r.error_message for r in failed] == [csv_files.OPEN_QUOTES]
+    assert sinks.read_bronze(spark, target, "2024-01-02").count() == 3
+
+
 def test_payload_shapes(spark):
     docs = spark.createDataFrame(
         [("a", "[]"), ("b", "5"), ("c", '[1, {"x": 2}]'), ("d", '[{"x": 1}, {"x": 2}]'), ("e", "{")],
