@@ -43,6 +43,21 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def with_ids_as_text(df: DataFrame, run: Callable, schema: str, *ids: str) -> DataFrame:
+    """``df.mapInPandas(run, schema)``; the columns ``ids`` pass as text, as pandas has no exact long with nulls."""
+    types = {c: df.schema[c].dataType for c in ids}
+    out = df.withColumns({c: F.col(c).cast("string") for c in ids}).mapInPandas(run, schema)
+    return out.withColumns({c: F.col(c).cast(types[c]) for c in ids})
+
+
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of ``value``, which is computed once however often ``use`` or an inner lambda names it.
+
+    A plain column is put in place wherever it is used when a filter moves below the projection that made it.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 

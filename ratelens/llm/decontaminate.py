@@ -89,8 +89,8 @@ def scanned(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, terms: i
     found = staged(found.groupBy("doc").agg(F.collect_list(cell).alias("found")))  # bounded by the document's length
     joined = docs.join(found, "doc", "left").withColumn("terms", terms_of(text_of()))
     occurs = (
-        "filter(coalesce(found, array()), f -> f.exact and f.start >= 0"
-        " and slice(terms, greatest(f.start, 0) + 1, size(f.terms)) = f.terms)"
+        "get(transform(array(terms), t -> filter(coalesce(found, array()), f -> f.exact and f.start >= 0"
+        " and slice(t, greatest(f.start, 0) + 1, size(f.terms)) = f.terms)), 0)"
     )
     spans = "array_sort(transform(hits, f -> struct(f.start as s, f.start + size(f.terms) as e)))"
     covered = (

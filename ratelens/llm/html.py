@@ -13,6 +13,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from ratelens.llm.common import with_ids_as_text
+
 # What HTML says of its elements, and names that sites give to what is not the article.
 DROPPED = re.compile(r"<!--.*?(?:-->|$)|<(script|style|noscript|template|svg|iframe|object|select|textarea|button|head|title)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</\1\s*>|$)", re.S | re.I)
 TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<[!?/]?[a-zA-Z][^<>]*>|<[!?][^<>]*>")
@@ -160,6 +162,7 @@ def extracted(pages: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts = [main_text(p, node) for p in batch["html"]]
-            yield pd.DataFrame({"page_id": batch["page_id"].astype("Int64"), "url": batch["url"], "text": texts, "n_chars": [len(t) for t in texts]})
+            yield pd.DataFrame({"page_id": batch["page_id"], "url": batch["url"], "text": texts, "n_chars": [len(t) for t in texts]})
 
-    return pages.select("page_id", "url", "html").mapInPandas(run, "page_id long, url string, text string, n_chars long")
+    schema = "page_id string, url string, text string, n_chars long"
+    return with_ids_as_text(pages.select("page_id", "url", "html"), run, schema, "page_id")

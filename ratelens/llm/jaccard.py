@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratelens.llm.common import linked_groups, small, staged
+from ratelens.llm.common import linked_groups, small, staged, with_ids_as_text
 from ratelens.llm.hashing import WordHashes, lowered, mixed, shingles
 
 WIDTH, PERCENT = 4, 85
@@ -79,7 +79,7 @@ def signature(hashes: np.ndarray) -> int:
 
 
 def sets(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """(place, doc_id, n_shingles, node, keys): one row a document; keys only once a task for equal sets."""
+    """(doc_id, n_shingles, node, keys): one row a document; keys only once a task for equal sets."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes, cached, seen = WordHashes(), {}, set()
@@ -94,10 +94,11 @@ def sets(docs: DataFrame, width: int = WIDTH) -> DataFrame:
                         seen.clear()
                     seen.add(node)
                 rows.append((doc_id, len(found), node, keys))
-            out = pd.DataFrame(rows, columns=["doc_id", "n_shingles", "node", "keys"])
-            yield out.astype({"doc_id": "Int64", "node": "Int64"})
+            columns = list(zip(*rows, strict=True)) if rows else [[], [], [], []]
+            yield pd.DataFrame({"doc_id": columns[0], "n_shingles": columns[1], "node": pd.array(columns[2], "Int64"), "keys": columns[3]})
 
-    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, n_shingles long, node long, keys array<long>")
+    schema = "doc_id string, n_shingles long, node long, keys array<long>"
+    return with_ids_as_text(docs.select("doc_id", "text"), run, schema, "doc_id")
 
 
 def members(docs: DataFrame, nodes: DataFrame, width: int = WIDTH) -> DataFrame:

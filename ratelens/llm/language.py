@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ratelens.llm.common import staged
+from ratelens.llm.common import staged, with_ids_as_text
 
 LETTERS = re.compile(r"[^\W\d_]+")
 LONGEST = 5
@@ -137,8 +137,8 @@ def predicted(docs: DataFrame, model: Model) -> DataFrame:
             yield pd.DataFrame({"doc_id": batch["doc_id"], "held_out": batch["held_out"], "lang_pred": langs, "score": scores})
 
     rows = docs.select("doc_id", "text", held_out().alias("held_out"))
-    schema = "doc_id long, held_out boolean, lang_pred string, score double"
-    return rows.mapInPandas(run, schema)
+    schema = "doc_id string, held_out boolean, lang_pred string, score double"
+    return with_ids_as_text(rows, run, schema, "doc_id")
 
 
 def identified(docs: DataFrame) -> DataFrame:

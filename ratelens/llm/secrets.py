@@ -13,6 +13,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from ratelens.llm.common import with_ids_as_text
+
 # The patterns of the contract. Letters of "assign" count in either case, in ASCII only.
 KINDS = {
     "assign": (re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.I | re.A), 2, 6),
@@ -180,8 +182,7 @@ def scanned(docs: DataFrame, network: Network | None = None) -> DataFrame:
                 told = [",".join(f"{k}:{a}:{b}" for a, k, b in some) for some in (base, every)]
                 n = [sum(k == kind for _, k, _ in base) for kind in KINDS]
                 rows.append((doc_id, *n, hashlib.sha256(told[0].encode()).hexdigest(), told[1], len(more)))
-            out = pd.DataFrame(rows, columns=["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_cnn"])
-            yield out.astype({"doc_id": "Int64"})
+            yield pd.DataFrame(rows, columns=["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_cnn"])
 
-    schema = "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_cnn long"
-    return docs.select("doc_id", "text").mapInPandas(run, schema)
+    schema = "doc_id string, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_cnn long"
+    return with_ids_as_text(docs.select("doc_id", "text"), run, schema, "doc_id")
