@@ -48,7 +48,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality.judged(docs, table(spark, sf_dir, "labels"))
     return out.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
-        F.round("ratio", 6).alias("ratio"),
+        "ratio",
     )
 
 

@@ -254,7 +254,10 @@ def test_ratio_is_that_of_the_multinomials(spark):
     docs = spark.createDataFrame([(1, "a b a"), (2, "c d"), (3, None)], "doc_id long, text string")
     sample = spark.createDataFrame([(1, True)], "doc_id long, good boolean")
     found = quality.weights(docs, sample, buckets=64)
-    grams = {r.doc_id: r.g for r in docs.where("text is not null").select("doc_id", quality.grams("split(text, ' ')", 64).alias("g")).collect()}
+    grams = {1: [], 2: []}
+    for r in quality.grams(docs.where("text is not null").selectExpr("doc_id", "split(text, ' ') words"), 64).collect():
+        grams[r.doc_id] += [r.one] + ([] if r.two is None else [r.two])
+    assert len(grams[1]) == 5 and len(grams[2]) == 3
     raw, good = Counter(grams[1] + grams[2]), Counter(grams[1])
     for b in range(64):
         want = np.log((good[b] + 1) / (len(grams[1]) + 64)) - np.log((raw[b] + 1) / (len(grams[1]) + len(grams[2]) + 64))
