@@ -15,7 +15,7 @@ from ratelens.functions.rates import money_total
 from ratelens.operators.diagnostics import looks_like_hash
 from ratelens.operators.dims import hospital_display
 from ratelens.operators.median import exact_median, join_on
-from ratelens.operators.rows import clamp, distinct_count, one_row, row_count
+from ratelens.operators.rows import at_least_one, distinct_count, one_row, row_count
 from ratelens.plans.marts import Marts
 
 ANY = ("", "ANY", "— ANY —")
@@ -118,7 +118,7 @@ def top_codes(
         per_hospital.groupBy(*CODE_KEY)
         .agg(F.sum("n").alias("row_count"), F.count("*").alias("hospitals_covered"))
         .orderBy(F.desc("row_count"), *CODE_KEY)
-        .limit(clamp(limit, 500))
+        .limit(at_least_one(limit))
     )
     return (
         _with_description(top, marts.dim_procedure_harmonized)
@@ -183,20 +183,16 @@ def plan_rollup(
 
 
 def rejects_summary(
-    marts: Marts, *, billing_code, rate_category, rate_unit, limit: int = 2000
+    marts: Marts, *, billing_code, rate_category, rate_unit
 ) -> DataFrame:
-    """Why rates of one procedure may not be compared, over its newest rejects."""
-    newest = (
-        marts.fct_rates_comparable_rejects.filter(
-            (F.col("billing_code") == billing_code.strip())
-            & (F.col("rate_category") == rate_category.strip())
-            & (F.col("rate_unit") == rate_unit.strip())
-        )
-        .orderBy(F.col("ingested_at").desc_nulls_last(), "semantic_charge_sk")
-        .limit(clamp(limit, 2000))
+    """Why rates of one procedure may not be compared, over all its rejects."""
+    rejects = marts.fct_rates_comparable_rejects.filter(
+        (F.col("billing_code") == billing_code.strip())
+        & (F.col("rate_category") == rate_category.strip())
+        & (F.col("rate_unit") == rate_unit.strip())
     )
     return (
-        newest.groupBy("comparability_reason")
+        rejects.groupBy("comparability_reason")
         .agg(
             F.count("*").alias("row_count"),
             F.min("payer_name").alias("sample_payer_name"),
@@ -260,7 +256,7 @@ def comparable_rates(
         rate_category=rate_category, rate_unit=rate_unit, payer_family=payer_family,
         plan_family=plan_family, hospital_id=None if hospital_ids else hospital_id,
     )
-    return _named_rates(_top_rates(rows, clamp(limit, 5000)), marts)
+    return _named_rates(_top_rates(rows, at_least_one(limit)), marts)
 
 
 def hospital_rates(
@@ -286,7 +282,7 @@ def hospital_rates(
         F.col("payer_name_raw").alias("_payer_raw"), F.col("plan_name_raw").alias("_plan_raw"),
         "payer_family", "plan_family",
     )
-    top = _top_rates(rows, clamp(limit, 5000)).join(
+    top = _top_rates(rows, at_least_one(limit)).join(
         families,
         (F.coalesce(F.trim("payer_name"), F.lit("")) == F.col("_payer_raw"))
         & (F.coalesce(F.trim("plan_name"), F.lit("")) == F.col("_plan_raw")),
@@ -372,7 +368,7 @@ def hospital_payer_coverage(marts: Marts, hospital_id: str, limit: int = 100) ->
         .groupBy("payer_name", "plan_name")
         .agg(F.count("*").alias("row_count"))
         .orderBy(F.desc("row_count"), "payer_name", "plan_name")
-        .limit(clamp(limit, 500))
+        .limit(at_least_one(limit))
     )
 
 
@@ -382,7 +378,7 @@ def hospital_top_procedures(marts: Marts, hospital_id: str, limit: int = 50) ->
         .groupBy(*CODE_KEY)
         .agg(F.count("*").alias("row_count"), F.max("description").alias("_own"))
         .orderBy(F.desc("row_count"), *CODE_KEY)
-        .limit(clamp(limit, 200))
+        .limit(at_least_one(limit))
     )
     return (
         _with_description(top, marts.dim_procedure_harmonized)
@@ -414,7 +410,7 @@ def top_procedure_variants(marts: Marts, limit: int = 50) -> DataFrame:
     return (
         marts.dim_procedure_harmonized.filter("description_variants_count > 0")
         .orderBy(F.desc("description_variants_count"), *CODE_KEY)
-        .limit(clamp(limit, 500))
+        .limit(at_least_one(limit))
     )
 
 
@@ -425,7 +421,7 @@ def payer_family_variants(marts: Marts, limit: int = 50) -> DataFrame:
         .agg(F.count_distinct("payer_name_norm").alias("payer_name_norm_count"))
         .filter("payer_name_norm_count > 1")
         .orderBy(F.desc("payer_name_norm_count"), "payer_family")
-        .limit(clamp(limit, 200))
+        .limit(at_least_one(limit))
     )
 
 
@@ -449,7 +445,7 @@ def data_quality_metrics(marts: Marts) -> DataFrame:
 
 def outlier_rates(marts: Marts, limit: int = 100) -> DataFrame:
     """The highest amounts published anywhere."""
-    top = _top_rates(marts.fct_standard_charges_semantic, clamp(limit, 500))
+    top = _top_rates(marts.fct_standard_charges_semantic, at_least_one(limit))
     named = _with_description(_with_names(top, marts.dim_hospital),
                               marts.dim_procedure_harmonized)
     return (

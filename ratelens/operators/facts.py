@@ -214,13 +214,19 @@ def harmonized_by_dimension(comparable: DataFrame, families: DataFrame) -> DataF
     )
 
 
-def newest_rejects(comparable: DataFrame, limit: int = 1_000_000) -> DataFrame:
-    """The most recent rates that may not be compared.
+def newest_rejects(comparable: DataFrame, limit: int | None = None) -> DataFrame:
+    """Rates that may not be compared: all of them, or the ``limit`` most recent.
 
     A limit this large would bring that many rows of every task to one place, so counts per day
     first tell which days can hold the newest rows, and only those are sorted.
     """
     rejects = comparable.filter(~F.col("is_comparable"))
+    unused = (
+        "billing_code_raw", "billing_code_is_valid", "billing_code_issue_reason",
+        "comparability_key", "is_comparable",
+    )
+    if limit is None:
+        return rejects.drop(*unused)
     day = F.to_date("ingested_at")
     newer = Window.orderBy(F.col("day").desc_nulls_last()).rowsBetween(
         Window.unboundedPreceding, 0
@@ -237,10 +243,7 @@ def newest_rejects(comparable: DataFrame, limit: int = 1_000_000) -> DataFrame:
         rejects.filter(oldest.isNull() | (day >= oldest))
         .orderBy(F.col("ingested_at").desc_nulls_last(), "semantic_charge_sk")
         .limit(limit)
-        .drop(
-            "billing_code_raw", "billing_code_is_valid", "billing_code_issue_reason",
-            "comparability_key", "is_comparable",
-        )
+        .drop(*unused)
     )
 
 

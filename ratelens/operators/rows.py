@@ -23,5 +23,6 @@ def distinct_count(df: DataFrame, column, name: str) -> DataFrame:
     return values.agg(F.count("*").alias(name))
 
 
-def clamp(limit: int, largest: int) -> int:
-    return max(1, min(int(limit), largest))
+def at_least_one(limit: int) -> int:
+    """The limit a caller asks for, honoured however large."""
+    return max(1, int(limit))

@@ -294,7 +294,7 @@ SELECTS = {
     "a07_rejects_summary": """select comparability_reason, count(*) as row_count,
  min(payer_name) as sample_payer_name, min(hospital_id) as sample_hospital_id from (
  select * from rejects where billing_code = '00010' and rate_category = 'other'
- and rate_unit = 'dollars' order by ingested_at desc nulls last, semantic_charge_sk limit 2000)
+ and rate_unit = 'dollars')
  group by 1""",
     "a08_search_procedures": """select billing_code, billing_code_type,
  canonical_description as description from procedures where lower(billing_code) like '%gear%'

@@ -31,7 +31,6 @@ START_SCAN = 1024 * 1024
 PROFILE_LINES = 2000
 PROFILE_PATHS = 10
 PROFILE_KEYS = 15
-ARRAY_ROWS = 500_000
 
 
 def json_start(text) -> Column:
@@ -86,18 +85,18 @@ def documents(spark: SparkSession, paths: list[str]) -> DataFrame:
     return with_encoding.select("source_path", F.trim(decoded()).alias("document"))
 
 
-def document_records(docs: DataFrame, largest: int = ARRAY_ROWS) -> DataFrame:
+def document_records(docs: DataFrame) -> DataFrame:
     """Records of whole documents.
 
-    An array of objects gives one record per object; an object, a scalar, an empty, mixed or
-    oversized array stays one payload.  A document that does not parse gives an error instead.
+    An array of objects gives one record per object; an object, a scalar, an empty or
+    mixed array stays one payload.  A document that does not parse gives an error instead.
     """
     parsed = docs.withColumn("v", F.try_parse_json("document"))
     elements = items("v")
     all_objects = F.forall(
         elements, lambda e: F.schema_of_variant(e).startswith("OBJECT")
     )
-    tabular = (F.size(elements) > 0) & (F.size(elements) <= largest) & all_objects
+    tabular = (F.size(elements) > 0) & all_objects
     split = parsed.withColumn("_split", F.coalesce(tabular, F.lit(False)))
     records = split.filter("_split").select(
         "source_path", F.explode(items("v")).alias("_record")
