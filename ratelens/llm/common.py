@@ -31,10 +31,10 @@ def scratch(spark: SparkSession) -> str:
     return os.path.join(shared_folder(spark, base) if base else base, f"llm-{uuid.uuid4().hex}")
 
 
-def staged(df: DataFrame) -> DataFrame:
+def staged(df: DataFrame, compression: str = "snappy") -> DataFrame:
     """``df`` written to the shared folder and read back: cuts the lineage, survives lost executors."""
     path = scratch(df.sparkSession)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
