@@ -36,6 +36,17 @@ def truthy_text(value) -> Column:
     return F.when(F.when(is_string, shown != "").otherwise(~shown.isin(*FALSY)), shown)
 
 
+def number(value) -> Column:
+    """A JSON number as it is, exponent included; NULL for anything else."""
+    is_number = F.schema_of_variant(as_col(value)).rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)")
+    return F.when(is_number, F.try_variant_get(as_col(value), "$", "double"))
+
+
+def first_truthy(values: list[Column]) -> Column:
+    """The first value that is not null, blank, zero, false or empty."""
+    return F.get(F.filter(F.array(*values), lambda v: truthy_text(v).isNotNull()), F.lit(0))
+
+
 def first_of(values: list[Column], reader) -> Column:
     """What ``reader`` makes of the first value it does not turn into NULL."""
     read = F.transform(F.array(*values), reader)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from ratelens.functions import as_col
 
 # Fixed value: what a NULL part contributes to a surrogate key.
-NULL_PART = "_dbt_utils_surrogate_key_null_"
+NULL_PART = "_ratelens_no_value_"
 
 
 def surrogate_key(*parts) -> Column:

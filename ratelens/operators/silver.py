@@ -7,13 +7,15 @@ from ratelens.functions import blank_to_null, first_present, text
 from ratelens.functions.jsonx import (
     as_text,
     first_of,
+    first_truthy,
     items,
     members,
+    number,
     present,
     top_level,
     truthy_text,
 )
-from ratelens.functions.rates import parse_rate, strict_amount
+from ratelens.functions.rates import finite, parse_rate, strict_amount
 from ratelens.schemas import SILVER
 
 # Top-level keys that hold the list of charge items.
@@ -161,13 +163,18 @@ def _code_text(value: Column) -> Column:
     return blank_to_null(F.when(inner.isNotNull(), wrapped).otherwise(as_text(value)))
 
 
+def _amount(value: Column) -> Column:
+    """A JSON number as it is, text by the rule for free-text cells."""
+    return F.coalesce(finite(number(value)), parse_rate(as_text(value)))
+
+
 def _nested_rates(charges: Column, payer: Column, plan: Column) -> Column:
     """Rates of ``standard_charges[]``: one per payer entry and one per rate key."""
 
     def of_payer(entry: Column) -> Column:
         return _rate(
             "NEGOTIATED",
-            parse_rate(first_of(_fields(entry, PAYER_AMOUNTS), truthy_text)),
+            _amount(first_truthy(_fields(entry, PAYER_AMOUNTS))),
             blank_to_null(first_of(_fields(entry, PAYER_KEYS), truthy_text)),
             blank_to_null(first_of(_fields(entry, PLAN_KEYS), truthy_text)),
         )
@@ -180,7 +187,7 @@ def _nested_rates(charges: Column, payer: Column, plan: Column) -> Column:
             ]
         )
         rates = F.transform(
-            own, lambda r: _rate(r["kind"], parse_rate(as_text(r["value"])), payer, plan)
+            own, lambda r: _rate(r["kind"], _amount(r["value"]), payer, plan)
         )
         entries = F.transform(
             items(charge["payers_information"]),
@@ -244,7 +251,7 @@ def payload_rates(bronze: DataFrame) -> DataFrame:
     payer, plan = F.col("_payer"), F.col("_plan")
     flat = F.array_compact(
         F.transform(
-            "_amounts", lambda r: _rate(r["kind"], parse_rate(as_text(r["value"])), payer, plan)
+            "_amounts", lambda r: _rate(r["kind"], _amount(r["value"]), payer, plan)
         )
     )
     rates = (

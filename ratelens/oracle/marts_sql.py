@@ -17,7 +17,7 @@ SEED_PLAN = """select * from (values ('BCBS', 'PPO', 'PPO'), ('BCBS', 'HMO', 'HM
 
 
 def key(*parts):
-    token = "'_dbt_utils_surrogate_key_null_'"
+    token = "'_ratelens_no_value_'"
     return "md5(" + " || '-' || ".join(
         f"coalesce(cast({p} as varchar), {token})" for p in parts
     ) + ")"

@@ -577,9 +577,8 @@ SELECTS = {
  cast(null as varchar) as payment_unit from events""",
     "i23_key_profile": """select count(*) as json_lines, (select string_agg(k, ',' order by k) from (
   select distinct unnest(json_keys(props)) as k
-  from (select props from events order by event_id limit 2000))) as sample_keys
- from (select props from events order by event_id limit 2000)
- where props like '{%' and json_valid(props)""",
+  from events where props like '{%' and json_valid(props))) as sample_keys
+ from events where props like '{%' and json_valid(props)""",
     "i24_not_registered": """select distinct source_file_name from charges
  where source_file_name not in (select source_file_name from csv_registry where status = 'success'
   union all select source_file_name from json_registry where status = 'success')""",

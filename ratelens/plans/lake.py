@@ -107,8 +107,8 @@ def run_silver(
         raise ValueError(f"no bronze data for {ingest_date}")
     candidates = _written(silver.candidate_rates(bronze), f"{lake}/_work/silver/{ingest_date}")
     good, bad = silver.good_rates(candidates), silver.quarantined(candidates)
-    sinks.overwrite_partitions(good, f"{lake}/silver/standard_charges", "ingest_date")
-    sinks.overwrite_partitions(bad, f"{lake}/silver/quarantine", "ingest_date")
+    sinks.overwrite_day(good, f"{lake}/silver/standard_charges", "ingest_date", ingest_date)
+    sinks.overwrite_day(bad, f"{lake}/silver/quarantine", "ingest_date", ingest_date)
     metrics = silver.quality_metrics(candidates)
     silver.require_quality(metrics, threshold)
     return metrics

@@ -638,7 +638,7 @@ def _(m, spark, sf_dir):
 @query("i23_key_profile")
 def _(m, spark, sf_dir):
     lines = testdata.table(spark, sf_dir, "events").select("event_id", F.col("props").alias("line"))
-    return json_files.key_profile(lines, "event_id")
+    return json_files.key_profile(lines)
 
 
 @query("i24_not_registered")

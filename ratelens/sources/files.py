@@ -96,8 +96,9 @@ def first_lines(raw: DataFrame, count: int) -> DataFrame:
     order = Window.partitionBy("source_path").orderBy("position")
     return (
         raw.filter("block = 0")
-        .withColumn("line_no", F.row_number().over(order) - 1)
-        .filter(F.col("line_no") < count)
+        .withColumn("line_no", F.row_number().over(order))
+        .filter(F.col("line_no") <= count)
+        .withColumn("line_no", F.col("line_no") - 1)
     )
 
 

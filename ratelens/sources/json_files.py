@@ -1,5 +1,6 @@
 """JSON and NDJSON charge files: records, extraction of rates and structure profiles."""
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -8,6 +9,7 @@ from pyspark.sql import types as T
 
 from ratelens.functions import blank_to_null
 from ratelens.functions.jsonx import as_text, first_text, items, members
+from ratelens.operators.rows import one_row
 from ratelens.schemas import EXTRACTED_RATE
 from ratelens.sources.files import BOM, decoded
 
@@ -26,16 +28,11 @@ RECORD_KEYS = {
 }
 SERVICE_PATH = "standard_charge_information.item"
 LINE_PATH = "ndjson_line"
-# Limits of the scans.
-START_SCAN = 1024 * 1024
-PROFILE_LINES = 2000
-PROFILE_PATHS = 10
-PROFILE_KEYS = 15
 
 
 def json_start(text) -> Column:
     """1-based place of the first bracket after any byte-order mark or junk; 0 when there is none."""
-    return F.regexp_instr(F.substring(text, 1, START_SCAN), F.lit(r"[\{\[]"))
+    return F.regexp_instr(text, F.lit(r"[\{\[]"))
 
 
 def from_start(text: str) -> Column:
@@ -115,28 +112,49 @@ def document_records(docs: DataFrame) -> DataFrame:
     return rows.unionByName(whole)
 
 
-def _flat(fields: list[T.StructField], column: Column, prefix: str = "") -> list[Column]:
-    """Leaves of a struct as columns with dotted names."""
-    leaves: list[Column] = []
-    for field in fields:
-        child = column.getField(field.name)
+def _ddl(found: str) -> str:
+    """A variant schema as a type; key names, quoted or before a colon, stay as they are."""
+    words = {"OBJECT": "STRUCT", "VOID": "STRING"}
+    return re.sub(r"`(?:[^`]|``)*`|\b(?:OBJECT|VOID)\b(?!:)", lambda m: words.get(m[0], m[0]), found)
+
+
+def _numbered(kind: T.DataType) -> T.DataType:
+    """The type with the fields of its structs named by place, so that no two names are alike."""
+    if not isinstance(kind, T.StructType):
+        return kind
+    return T.StructType(
+        [T.StructField(f"f{i}", _numbered(f.dataType)) for i, f in enumerate(kind.fields)]
+    )
+
+
+def _leaves(kind: T.StructType, row: Column, prefix: str = "") -> list[tuple[str, Column]]:
+    """Dotted name and text of every leaf of a struct whose fields are named by place."""
+    leaves: list[tuple[str, Column]] = []
+    for i, field in enumerate(kind.fields):
+        child = row.getField(f"f{i}")
         if isinstance(field.dataType, T.StructType):
-            leaves += _flat(field.dataType.fields, child, f"{prefix}{field.name}.")
+            leaves += _leaves(field.dataType, child, f"{prefix}{field.name}.")
         else:
-            leaves.append(child.cast("string").alias(f"{prefix}{field.name}"))
+            leaves.append((f"{prefix}{field.name}", child.cast("string")))
     return leaves
 
 
 def flattened(records: DataFrame, column: str = "record_json") -> DataFrame:
-    """Records as text columns, nested objects under dotted names; the schema is their union."""
+    """Records as text columns, nested objects under dotted names; the schema is their union.
+
+    Keys that differ in case only give one column, the first spelling in the schema winning.
+    """
     parsed = records.withColumn("_v", F.try_parse_json(column))
     found = parsed.agg(F.schema_of_variant_agg("_v").alias("s")).first()["s"]
     if not found or not found.startswith("OBJECT<"):
         return records.drop(column)
-    ddl = found.replace("OBJECT<", "STRUCT<").replace("VOID", "STRING")
     kept = [c for c in records.columns if c != column]
-    shaped = parsed.select(*kept, F.try_variant_get("_v", "$", ddl).alias("_row"))
-    return shaped.select(*kept, *_flat(shaped.schema["_row"].dataType.fields, F.col("_row")))
+    shaped = parsed.select(*kept, F.try_variant_get("_v", "$", _ddl(found)).alias("_row"))
+    kind = shaped.schema["_row"].dataType
+    columns: dict[str, tuple[str, list[Column]]] = {}
+    for name, leaf in _leaves(kind, F.col("_row").cast(_numbered(kind))):
+        columns.setdefault(name.lower(), (name, []))[1].append(leaf)
+    return shaped.select(*kept, *[F.coalesce(*c).alias(name) for name, c in columns.values()])
 
 
 def extract_records(records: DataFrame, record_path: str, record: str = "record") -> DataFrame:
@@ -229,15 +247,16 @@ def capped(rows: DataFrame, max_records: int = 0) -> DataFrame:
     return rows.limit(max_records) if max_records > 0 else rows
 
 
-def structure_profile(docs: DataFrame, max_depth: int = 8) -> DataFrame:
+def structure_profile(docs: DataFrame, top: int | None = None) -> DataFrame:
     """Paths that hold arrays of objects, how many objects each holds and their keys.
 
-    Each level of nesting is one explode over the level above; the ten largest paths are kept.
+    Each level of nesting is one explode over the level above, until one is empty; ``top`` keeps
+    the largest paths only.
     """
     spark = docs.sparkSession
     level = docs.select(F.lit("").alias("path"), F.try_parse_json("document").alias("v"))
     levels = []
-    for _ in range(max_depth):
+    while not levels or not level.isEmpty():
         level = spark.sql(
             "select p.path as parent, c.key, c.value as v from {p} p,"
             " lateral variant_explode(p.v) c",
@@ -261,25 +280,19 @@ def structure_profile(docs: DataFrame, max_depth: int = 8) -> DataFrame:
         objects.select("path", F.explode("keys").alias("key"))
         .distinct()
         .groupBy("path")
-        .agg(F.slice(F.array_sort(F.collect_set("key")), 1, PROFILE_KEYS).alias("sample_keys"))
-    )
-    return (
-        counts.join(named, "path", "left")
-        .orderBy(F.desc("object_count"), "path")
-        .limit(PROFILE_PATHS)
+        .agg(F.array_sort(F.collect_set("key")).alias("sample_keys"))
     )
+    found = counts.join(named, "path", "left").orderBy(F.desc("object_count"), "path")
+    return found if top is None else found.limit(top)
 
 
-def key_profile(lines: DataFrame, *order: str, column: str = "line") -> DataFrame:
-    """Objects and sorted distinct keys among the first lines."""
-    first = lines.orderBy(*order).limit(PROFILE_LINES)
-    keyed = lenient_objects(first, column).select(
-        F.json_object_keys(column).alias("keys")
-    )
-    names = F.array_sort(F.array_distinct(F.flatten(F.collect_set("keys"))))
-    return keyed.agg(
-        F.count("*").alias("json_lines"),
-        F.array_join(F.slice(names, 1, 20), ",").alias("sample_keys"),
+def key_profile(lines: DataFrame, column: str = "line") -> DataFrame:
+    """Objects among the lines and their distinct keys, sorted."""
+    keyed = lenient_objects(lines, column).select(F.json_object_keys(column).alias("keys"))
+    names = keyed.select(F.explode("keys").alias("key")).distinct()
+    return one_row(
+        keyed.agg(F.count("*").alias("json_lines")),
+        names.agg(F.array_join(F.array_sort(F.collect_set("key")), ",").alias("sample_keys")),
     )
 
 

@@ -40,6 +40,11 @@ def overwrite_partitions(df: DataFrame, path: str, *partition_by: str) -> None:
     )
 
 
+def overwrite_day(df: DataFrame, path: str, column: str, day: str) -> None:
+    """Replace one partition by the frame's rows, also when it has none."""
+    df.drop(column).write.mode("overwrite").parquet(f"{path}/{column}={day}")
+
+
 def read_bronze(spark: SparkSession, lake: str, ingest_date: str) -> DataFrame | None:
     """Bronze rows of one day from both source kinds by column name; None when there are none."""
     frames = []
@@ -147,19 +152,9 @@ def merge_charges(path: str, base: DataFrame, hospitals: DataFrame, staging: str
     merged.write.mode("overwrite").parquet(f"{staging}/merged")
     merged = spark.read.parquet(f"{staging}/merged")
     left_over = days.join(merged.select("ingest_day").distinct(), "ingest_day", "left_anti")
-    if left_over.isEmpty():
-        overwrite_partitions(
-            merged.sortWithinPartitions("ingest_day", *CLUSTERED_BY), path, "ingest_day"
-        )
-        return
-    # A day lost its last row.  Replacing partitions cannot remove one, so the table is replaced.
-    others = target.join(F.broadcast(days), "ingest_day", "left_anti").select(*columns)
-    others.unionByName(merged).write.mode("overwrite").parquet(f"{staging}/table")
-    (
-        spark.read.parquet(f"{staging}/table")
-        .sortWithinPartitions("ingest_day", *CLUSTERED_BY)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy("ingest_day")
-        .parquet(path)
+    emptied = [row[0] for row in left_over.collect()]  # calendar days
+    overwrite_partitions(
+        merged.sortWithinPartitions("ingest_day", *CLUSTERED_BY), path, "ingest_day"
     )
+    for day in emptied:  # a day that lost its last row; replacing partitions cannot empty one
+        overwrite_day(merged.limit(0), path, "ingest_day", str(day or "__HIVE_DEFAULT_PARTITION__"))
