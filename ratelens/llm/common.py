@@ -144,6 +144,17 @@ def components(edges: DataFrame) -> DataFrame:
     )
 
 
+def merged(groups: DataFrame, edges: DataFrame) -> DataFrame:
+    """``groups`` (node, comp) after ``edges`` (a, b) between their nodes or new ones; comp stays the smallest node."""
+    for end in ("a", "b"):
+        known = groups.select(F.col("node").alias(end), F.col("comp").alias(f"{end}_comp"))
+        edges = edges.join(known, end, "left").withColumn(end, F.coalesce(f"{end}_comp", end)).drop(f"{end}_comp")
+    roots = components(edges.where("a <> b"))
+    moved = roots.select(F.col("node").alias("comp"), F.col("comp").alias("root"))
+    kept = groups.join(moved, "comp", "left").select("node", F.coalesce("root", "comp").alias("comp"))
+    return kept.unionByName(roots.join(groups.select("node"), "node", "left_anti"))
+
+
 def linked_groups(lists: DataFrame, verified: Callable[[DataFrame], DataFrame], stars: int = 2) -> DataFrame:
     """(node, comp) of the graph whose links are the pairs that share a list and that ``verified`` keeps.
 
@@ -151,9 +162,10 @@ def linked_groups(lists: DataFrame, verified: Callable[[DataFrame], DataFrame],
     first compared with one of its members, the hub, only: what is linked with the hub has its answer
     from the hub's and needs no further comparison with others that have it too. A list whose members
     are in one group is done. After ``stars`` rounds, what is left is compared pair by pair, but only
-    across groups. So no link between groups is lost, and no group of copies is paired out.
+    across groups. So no link between groups is lost, and no group of copies is paired out. Each round
+    joins the groups of the one before, not their members anew.
     """
-    todo, edges, groups = lists, None, None
+    todo, groups = lists, None
     for turn in range(stars + 1):
         if groups is not None:
             known = todo.join(groups, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
@@ -171,7 +183,6 @@ def linked_groups(lists: DataFrame, verified: Callable[[DataFrame], DataFrame],
             pairs = todo.join(other, "key").where("comp < c").select(F.col("node").alias("x"), "y")
         pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
         found = staged(verified(staged(pairs)))
-        edges = found if edges is None else edges.unionByName(found)
-        groups = staged(components(edges))
+        groups = staged(components(found) if groups is None else merged(groups, found))
         todo = todo.select("key", "node")
     return groups
