@@ -5,14 +5,20 @@ the columns of documents.
 """
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ratelens.llm import decontaminate, jaccard, mixing, quality, shard
 from ratelens.llm.common import staged, table
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """doc_id, text and the whole row, so that no other column clashes with a result."""
+    return docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules keep; the raw corpus is ``docs``, the trusted ones come from labels."""
-    return quality.judged(docs, table(spark, sf_dir, "labels")).where("kept").select(*docs.columns)
+    return quality.judged(packed(docs), table(spark, sf_dir, "labels")).where("kept").select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,7 +28,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not contaminated with benchmark passages."""
-    return decontaminate.scanned(docs, table(spark, sf_dir, "benchmark")).where("not contaminated").select(*docs.columns)
+    return decontaminate.scanned(packed(docs), table(spark, sf_dir, "benchmark")).where("not contaminated").select("row.*")
 
 
 def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
