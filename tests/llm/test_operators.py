@@ -325,6 +325,49 @@ def test_katz_sums_to_one_and_backs_off():
     assert np.allclose(table[10], table[13])  # histories that never occur give class frequencies
 
 
+def plain_katz(texts):
+    """P(w | u, v) by the counts of ``texts`` (lists of words), as a function; None is the end."""
+    three = Counter(g for own in texts for g in zip([None, None, *own], [None, *own], [*own, None], strict=False))
+    two, one = Counter(), Counter()
+    for (_, v, w), n in three.items():
+        two[v, w] += n
+        one[w] += n
+    all_ = sum(one.values()) + len(one) + 1
+    r3, r2 = (scoring.discounts(np.array(list(x.values()))) for x in (three, two))
+    cut = lambda n, r: n * (r[n] if n < len(r) else 1.0)
+
+    def level(grams, ratio, history, w, lower):
+        follow = {g[-1]: n for g, n in grams.items() if g[:-1] == history}
+        total = sum(follow.values())
+        if not total:
+            return lower(w)
+        left = 1 - sum(cut(n, ratio) for n in follow.values()) / total
+        scale, left = (1 - 1e-6, 1e-6) if left < 1e-9 else (1, left)
+        return cut(follow[w], ratio) / total * scale if w in follow else left / (1 - sum(map(lower, follow))) * lower(w)
+
+    p1 = lambda w: (one[w] + 1) / all_
+    p2 = lambda v, w: level(two, r2, (v,), w, p1)
+    return (lambda u, v, w: level(three, r3, (u, v), w, lambda x: p2(v, x))), one
+
+
+def test_words_not_their_classes_are_scored(spark):
+    """Words that share ending, length and count differ by what stood before them, one word or two words back."""
+    rng = np.random.default_rng(8)
+    name = lambda k: f"{'abcdefghij'[k // 10]}{'klmnopqrst'[k % 10]}ing"
+    texts = [" ".join(name(int(k)) for k in (np.cumsum(rng.integers(1, 3, 14)) * 7 + i) % 40) for i in range(80)] + ["new words aking", "", None]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts * 2)], "doc_id long, text string").repartition(5)
+    out = lambda d: zlib.crc32(str(d).encode()) % 7 == 2
+    p, one = plain_katz([(t or "").split() for k, t in enumerate(texts * 2) if not out(k)])
+    for u, v in ((None, None), ("akoing", None), (name(7), name(14)), (name(3), name(30))):
+        assert abs(sum(p(u, v, w) for w in [*one, "unknown"]) - 1) < 1e-9
+    got = scoring.scores(docs).collect()
+    assert {r.held_out for r in got} == {True, False}
+    for r in got:
+        own = ((texts * 2)[r.doc_id] or "").split()
+        want = sum(np.log10(p(*g)) for g in zip([None, None, *own], [None, *own], [*own, None], strict=False))
+        assert abs(r.score - want) < 1e-6 * max(1, abs(want))
+
+
 # op5
 
 
