@@ -264,6 +264,27 @@ def test_ratio_is_that_of_the_multinomials(spark):
         assert abs(found[b] - want) < 1e-12
 
 
+def test_limit_is_of_trusted_documents_kept_back_that_pass_the_base_rules(spark, monkeypatch):
+    long = lambda k: " ".join(f"w{k}x{i}" for i in range(60))
+    docs = [(k, long(k)) for k in range(100)] + [(k, f"short {k}") for k in range(100, 160)] + [(k, long(k % 100)) for k in range(160, 190)]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    sample = docs.selectExpr("doc_id", "true good")
+    back = {r.doc_id for r in docs.where(quality.kept_back()).collect()}
+    fold = [r for r in docs.collect() if r.doc_id in back]
+    assert 20 < len(fold) < 60 and any(r.doc_id >= 100 for r in fold)
+    counted = {r.text for r in docs.collect() if r.doc_id not in back}
+    # Short ones, counted ones and copies of counted ones are all lower than the others.
+    value = {r.text: 0.5 for r in fold if r.text not in counted and r.doc_id < 100}
+    assert value and len(value) < sum(r.doc_id < 100 or r.doc_id >= 160 for r in fold)
+    scores = spark.createDataFrame([(r.text, value.get(r.text, -1.0)) for r in docs.dropDuplicates(["text"]).collect()], "text string, ratio double")
+    scored = scores.select(*quality.key_of(scores.text), "ratio")
+    assert quality.threshold(docs, sample, scored) == 0.5
+    seen, weigh = [], quality.weights
+    monkeypatch.setattr(quality, "weights", lambda d, s: seen.append({r.doc_id for r in s.where("good").collect()}) or weigh(d, s))
+    quality.judged(docs, docs.selectExpr("doc_id", "1 quality"))
+    assert seen == [{r.doc_id for r in docs.collect()} - back]
+
+
 # op2
 
 
