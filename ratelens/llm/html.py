@@ -16,12 +16,23 @@ from pyspark.sql import DataFrame
 from ratelens.llm.common import with_ids_as_text
 
 # What HTML says of its elements, and names that sites give to what is not the article.
-DROPPED = re.compile(r"<!--.*?(?:-->|$)|<(script|style|noscript|template|svg|iframe|object|select|textarea|button|head|title)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</\1\s*>|$)", re.S | re.I)
+DROPPED = re.compile(r"<!--(?:-?>)?|<(script|style|noscript|template|svg|iframe|object|select|textarea|button|title)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>", re.I)
+ENDS = {n: re.compile(rf"<(/?){n}\b[^>]*>", re.I) for n in "script style noscript template svg iframe object select textarea button title".split()}
+COMMENT_END = re.compile("--!?>")
+RAW = set("script style textarea iframe".split())  # the first closing tag ends them, whatever stands before it
+NESTED = set("noscript template svg object".split())
 TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<[!?/]?[a-zA-Z][^<>]*>|<[!?][^<>]*>")
 INLINE = set("a abbr b bdi bdo cite code data del dfn em font i img ins kbd mark q s samp small span strike strong sub sup time tt u var wbr".split())
 CONTAINERS = set("article main section div nav header footer aside form ul ol dl table body figure fieldset dialog menu".split())
+LEAVES = set("p li td th tr dt dd h1 h2 h3 h4 h5 h6 blockquote pre address center details summary figcaption caption hgroup thead tbody tfoot".split())
+#: What an opening tag ends, up to the next list or table: elements whose closing tags may be left out.
+ENDED = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"tr", "td", "th"}} | {n: {"thead", "tbody", "tfoot", "tr", "td", "th"} for n in ("thead", "tbody", "tfoot")}
+BOUNDS = set("ul ol dl table".split())
+BLOCK = re.compile(r"</?(?:" + "|".join(sorted(CONTAINERS | LEAVES | {"html", "head"})) + r")\b", re.I)
 CHROME = set("nav header footer aside form fieldset dialog menu".split())
 CHROME_NAMES = re.compile(r"(?:^|[\s_-])(?:ad|ads|advert\w*|banner|sponsor\w*|promo\w*|sidebar|side|menu|nav\w*|breadcrumbs?|footer|header|masthead|comments?|respond|reply|cookies?|consent|notices?|alert|popup|modal|newsletter|subscribe|signup|login|share|social|related|recommended|widget|toolbar|copyright|disqus)(?:$|[\s_-])", re.I)
+SAID_OF_PAGE = re.compile(r"(?<!\S)(?:has|have|with|without|no|hide|show)[_-]\S*", re.I)  # what a page has, not what the element is
+HOLDS_MAIN = re.compile(r"<main\b", re.I)
 MAIN_NAMES = re.compile(r"(?:^|[\s_-])(?:article|content|main|post|story|entry|body|text)(?:$|[\s_-])", re.I)
 NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 
@@ -78,11 +89,74 @@ def decide(node, row: tuple) -> int:
     return node
 
 
+def paired(page: str, name: str) -> dict[int, int]:
+    """Where each closed element of ``name`` starts, and where it ends; a closing tag is that of the last one open."""
+    out, opened = {}, []
+    for tag in ENDS[name].finditer(page):
+        if tag[1]:
+            if opened:
+                out[opened.pop()] = tag.end()
+        elif name == "svg" and tag[0].endswith("/>"):
+            out[tag.start()] = tag.end()
+        else:
+            opened.append(tag.start())
+    return out
+
+
+def visible(page: str) -> str:
+    """``page`` with comments and elements that show no text as spaces; an unclosed one ends at the next block tag."""
+    out, at, unclosed, pairs = [], 0, set(), {}
+    while found := DROPPED.search(page, at):
+        out.append(page[at : found.start()])
+        name, at, end = (found[1] or "").lower(), found.end(), None
+        if not name and found[0] != "<!--":
+            end = at  # an empty comment
+        elif name in NESTED:
+            if name not in pairs:
+                pairs[name] = paired(page, name)
+            end = pairs[name].get(found.start())
+        elif name not in unclosed:
+            tags = (ENDS[name] if name else COMMENT_END).finditer(page, at)
+            tag = next((t for t in tags if not name or t[1] or name not in RAW), None)
+            if tag is None:
+                unclosed.add(name)
+            elif not name or tag[1]:
+                end = tag.end()  # else the next one begins first: this one was not closed
+        if end is None:
+            block = BLOCK.search(page, at)
+            end = block.start() if block else len(page)
+        out.append(" ")
+        at = end
+    out.append(page[at:])
+    return "".join(out)
+
+
+class Element:
+    """An open block element: its own marks; those of what it stands in count as well."""
+
+    def __init__(self, name: str, chrome: bool, main: int, parent: "Element | None"):
+        self.name, self.own, self.main, self.parent, self.known = name, chrome, main, parent, None
+
+    def chrome(self) -> int:
+        chain, e = [], self
+        while e is not None and e.known is None:
+            chain.append(e)
+            e = e.parent
+        value = e.known if e is not None else 0
+        for e in reversed(chain):
+            value = e.known = int(value or e.own)
+        return value
+
+
 def blocks(page: str) -> list[tuple[str, int, float, int, int, int]]:
-    """(text, words, link density, chrome, main, heading) of every block with text, in page order."""
-    page = DROPPED.sub(" ", page)
+    """(text, words, link density, chrome, main, heading) of every block with text, in page order.
+
+    What holds the page's main element, or without any its first article, is not chrome.
+    """
+    page = visible(page)
     out: list = []
-    stack: list[tuple[str, int, int]] = [("", 0, 0)]
+    top = Element("", False, 0, None)
+    stack, pending = [top], "main" if HOLDS_MAIN.search(page) else "article"
     text, linked, link_depth, heading = [], 0, 0, 0
 
     def flush() -> None:
@@ -90,7 +164,7 @@ def blocks(page: str) -> list[tuple[str, int, float, int, int, int]]:
         plain = " ".join("".join(text).split())
         if plain:
             n = plain.count(" ") + 1
-            out.append((plain, n, min(1.0, linked / n), stack[-1][1], stack[-1][2], heading))
+            out.append((plain, n, min(1.0, linked / n), stack[-1], stack[-1].main, heading))
         text.clear()
         linked = 0
 
@@ -121,22 +195,35 @@ def blocks(page: str) -> list[tuple[str, int, float, int, int, int]]:
                 heading = 0 if closing else 1
             else:
                 heading = 0
-            if name in CONTAINERS:
-                if closing:
-                    for k in range(len(stack) - 1, 0, -1):
-                        if stack[k][0] == name:
-                            del stack[k:]
-                            break
-                elif not found[3].endswith("/"):
-                    names = " ".join(x for m in NAMED.findall(found[3]) for x in m if x)
-                    inside_main = stack[-1][2] or int(name in ("article", "main") or bool(MAIN_NAMES.search(names)))
-                    is_chrome = name in CHROME or bool(CHROME_NAMES.search(names))
-                    if name == "header" and stack[-1][2]:
-                        is_chrome = bool(CHROME_NAMES.search(names))
-                    stack.append((name, int(stack[-1][1] or (is_chrome and name != "body")), inside_main))
+            if closing:
+                for k in range(len(stack) - 1, 0, -1):
+                    if stack[k].name == name:
+                        del stack[k:]
+                        break
+                    if name in LEAVES and stack[k].name in BOUNDS:
+                        break
+                continue
+            if stack[-1].name == "p":
+                stack.pop()
+            for k in range(len(stack) - 1, 0, -1):
+                if stack[k].name in BOUNDS:
+                    break
+                if stack[k].name in ENDED.get(name, ()):
+                    del stack[k:]
+            if name in CONTAINERS and not found[3].endswith("/") or name in LEAVES:
+                names = " ".join(x for m in NAMED.findall(found[3]) for x in m if x)
+                inside_main = stack[-1].main or int(name in ("article", "main") or bool(MAIN_NAMES.search(names)))
+                is_chrome = bool(CHROME_NAMES.search(SAID_OF_PAGE.sub(" ", names)))
+                if name in CHROME and not (name == "header" and stack[-1].main):
+                    is_chrome = True
+                stack.append(Element(name, is_chrome and name != "body", inside_main, stack[-1]))
+                if name == pending:
+                    pending = ""
+                    for e in stack:
+                        e.own = False
     add(page[at:])
     flush()
-    return out
+    return [(plain, n, links, e.chrome(), main, head) for plain, n, links, e, main, head in out]
 
 
 def main_text(page: str | None, node) -> str:

@@ -315,6 +315,31 @@ def test_pages(spark, sf_dir):
     assert rows(html.extracted(odd), "page_id", "n_chars")[-1] == (None, 0)
 
 
+def test_articles_of_loose_pages_are_found():
+    node, words = html.tree(), " ".join(["Long plain words of the article."] * 8)
+    said = lambda page: html.main_text(page, node)
+    article = f"<article><p>{words}</p></article>"
+    for page in (
+        f"<head><title>t</title><body>{article}",
+        f"<html><head><meta charset=utf-8><title>t<body>{article}<svg><title>x</title></svg>",
+        f"<body><button>Menu {article}<button>x</button>",
+        f"<body><select><option>One {article}",
+        f"<body><iframe src=x>{article}",
+        f"<body><!-- never closed {article}",
+        f"<body><svg><p></p><svg><text>no</text></svg>{article}<svg/>",
+        f"<body><!-->{article}<!-- closed -->",
+        f"<body><div class='layout with-sidebar'><p>{words}</p></div>",
+        f"<body><div class='page has-comments no-share'><p>{words}</p></div>",
+        f"<body><div class='sidebar-layout'>{article}</div>",
+        f"<body><form action=/ id=aspnet><main><p>{words}</p></main></form>",
+    ):
+        assert said(page) == words, page
+    assert said(f"<body>{article}<p class='advert'>{words} Buy.</p><p>{words}</p>") == f"{words}\n{words}"
+    assert said(f"<body>{article}<ul><li class=sponsor><p>{words}</p><li>{words}</ul>") == f"{words}\n{words}"
+    assert said(f"<body>{article}<div class=comments><article><p>{words} Me too.</p></article></div>") == words
+    assert said(f"<body><svg><svg><text>no</text></svg><text>{words}</text></svg><script>'<script>{words}'</script>{article}") == words
+
+
 # op3
 
 
