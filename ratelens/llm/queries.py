@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratelens.llm import decontaminate, html, jaccard, language, lines, mixing, quality, scoring, secrets, shard
+from ratelens.llm import bitsliced, decontaminate, html, jaccard, language, lexical, lines, mixing, quality, scoring, secrets, shard, variants
 from ratelens.llm.common import table
 
 
@@ -57,6 +57,18 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", "dropped", F.crc32(F.col("text").cast("binary")).alias("text_crc32"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.grouped(table(spark, sf_dir, "documents"))
+
+
+def op12_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitsliced.searched(table(spark, sf_dir, "embeddings"))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_shard": op1_shard,
     "op2_main_text": op2_main_text,
@@ -68,4 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_quality_rules": op9_quality_rules,
     "op10_line_dedup": op10_line_dedup,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_top_k": op12_top_k,
+    "op13_ranked_search": op13_ranked_search,
 }
