@@ -19,7 +19,9 @@ from pyspark.sql import functions as F
 
 from ratelens.llm.common import staged
 
-RUN = re.compile("[a-zÀ-ÿ]+")
+#: UTF-8 of letters that are in no run: all of two bytes and more but U+00C0 to U+00FF.
+OTHER = re.compile(rb"(?:[\xC2\xC4-\xFF][\x80-\xBF]*)+")
+PLAIN = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 97 <= c <= 122 else 32 for c in range(256))
 LETTERS = "abcdefghijklmnopqrstuvwxyz" + "".join(map(chr, range(0xC0, 0x100)))
 #: Of the symbols that letters are hashed to.
 SYMBOLS = "0123"
@@ -30,6 +32,11 @@ ONE_IN = 199
 HELD = 300_000
 
 
+def runs_of(text: bytes) -> list[bytes]:
+    """Runs of letters of a UTF-8 text that have enough bytes; A-Z lowered. Letters past ASCII begin with byte C3."""
+    return [w for w in OTHER.sub(b" ", text).translate(PLAIN).split() if len(w) >= LEAST_LENGTH]
+
+
 def counted(docs: DataFrame) -> DataFrame:
     """(word, n) of every task: runs of letters, A-Z lowered, with the letter deletions of the contract."""
 
@@ -37,27 +44,25 @@ def counted(docs: DataFrame) -> DataFrame:
         total: Counter = Counter()
 
         def told() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays([pa.array(total.keys(), pa.string()), pa.array(total.values(), pa.int64())], names=["word", "n"])
+            words = [(word, n) for raw, n in total.items() if n and len(word := raw.decode()) >= LEAST_LENGTH]
             total.clear()
-            return out
+            return pa.RecordBatch.from_arrays([pa.array([w for w, _ in words], pa.string()), pa.array([n for _, n in words], pa.int64())], names=["word", "n"])
 
         for batch in batches:
             for doc_id, text in zip(batch.column("doc_id"), batch.column("text"), strict=True):
                 if not text.is_valid:
                     continue
+                runs = runs_of(text.as_buffer().to_pybytes())
+                total.update(runs)
                 prefix = zlib.crc32(f"{doc_id.as_py() or ''}:".encode())
-                # Bytes lower A-Z only; the runs of one text are counted once each.
-                for word, n in Counter(RUN.findall(text.as_buffer().to_pybytes().lower().decode("utf-8", "replace"))).items():
-                    h = zlib.crc32(word.encode(), prefix)
-                    if h % ONE_IN == 0:
-                        at = h % len(word)
-                        word = word[:at] + word[at + 1 :]
-                    if len(word) >= LEAST_LENGTH:
-                        total[word] += n
+                for raw in [w for w in set(runs) if not zlib.crc32(w, prefix) % ONE_IN]:
+                    word, n = raw.decode(), runs.count(raw)
+                    at = zlib.crc32(raw, prefix) % len(word)
+                    total[raw] -= n
+                    total[(word[:at] + word[at + 1 :]).encode()] += n
                 if len(total) >= HELD:
                     yield told()
-        if total:
-            yield told()
+        yield told()
 
     return docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text").mapInArrow(run, "word string, n long")
 
