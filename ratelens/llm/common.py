@@ -155,16 +155,19 @@ def merged(groups: DataFrame, edges: DataFrame) -> DataFrame:
     return kept.unionByName(roots.join(groups.select("node"), "node", "left_anti"))
 
 
-def linked_groups(lists: DataFrame, verified: Callable[[DataFrame], DataFrame], stars: int = 2) -> DataFrame:
+def linked_groups(lists: DataFrame, verified: Callable[[DataFrame], DataFrame], possible: Callable[[str, str], str] | None = None, stars: int = 2) -> DataFrame:
     """(node, comp) of the graph whose links are the pairs that share a list and that ``verified`` keeps.
 
-    ``lists`` has (key, node). ``verified`` takes (a, b) and returns those that are links. A list is
-    first compared with one of its members, the hub, only: what is linked with the hub has its answer
-    from the hub's and needs no further comparison with others that have it too. A list whose members
-    are in one group is done. After ``stars`` rounds, what is left is compared pair by pair, but only
-    across groups. So no link between groups is lost, and no group of copies is paired out. Each round
-    joins the groups of the one before, not their members anew.
+    ``lists`` has (key, node) and, with ``possible``, info: a condition on the infos of two entries of a list
+    that no link may fail in every list it shares. A pair that fails it is not made. ``verified`` takes (a, b)
+    and returns those that are links. A list is first compared with one of its members, the hub, only: what is
+    linked with the hub has its answer from the hub's and needs no further comparison with others that have it
+    too. A list whose members are in one group is done. After ``stars`` rounds, what is left is compared pair by
+    pair, but only across groups. So no link between groups is lost, and no group of copies is paired out. Each
+    round joins the groups of the one before, not their members anew.
     """
+    if possible is None:
+        lists, possible = lists.withColumn("info", F.lit(0)), lambda x, y: "true"
     todo, groups = lists, None
     for turn in range(stars + 1):
         if groups is not None:
@@ -175,14 +178,17 @@ def linked_groups(lists: DataFrame, verified: Callable[[DataFrame], DataFrame],
             todo = todo.withColumn("comp", F.col("node"))
         if turn and todo.isEmpty():
             break
+        one = todo.select("key", F.col("node").alias("x"), F.col("info").alias("x_info"), "comp")
         if turn < stars:
-            hubs = todo.groupBy("key").agg(F.min_by(F.struct("node", "comp"), F.xxhash64("node", F.lit(turn))).alias("hub"))
-            pairs = todo.join(hubs, "key").where("comp <> hub.comp").select(F.col("hub.node").alias("x"), F.col("node").alias("y"))
+            hub = F.min_by(F.struct("node", "comp", "info"), F.xxhash64("node", F.lit(turn))).alias("hub")
+            other = todo.groupBy("key").agg(hub).select("key", F.col("hub.node").alias("y"), F.col("hub.info").alias("y_info"), F.col("hub.comp").alias("c"))
+            across = "comp <> c"
         else:
-            other = todo.select("key", F.col("node").alias("y"), F.col("comp").alias("c"))
-            pairs = todo.join(other, "key").where("comp < c").select(F.col("node").alias("x"), "y")
+            other = todo.select("key", F.col("node").alias("y"), F.col("info").alias("y_info"), F.col("comp").alias("c"))
+            across = "comp < c"
+        pairs = one.alias("l").join(other.alias("r"), (F.col("l.key") == F.col("r.key")) & F.expr(across) & F.expr(possible("x_info", "y_info")))
         pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
         found = staged(verified(staged(pairs)))
         groups = staged(components(found) if groups is None else merged(groups, found))
-        todo = todo.select("key", "node")
+        todo = todo.select("key", "node", "info")
     return groups

@@ -1,49 +1,36 @@
 """Exact n-gram Jaccard join by set relations.
 
-A set's shingles stand in the order of their hashes and are cut at fixed positions into blocks, more
-blocks than two linked sets can differ in. So linked sets have an equal block that is not empty, at the
-same position: the index lists are keyed by position and content of a block, and everything else of a
-list is skipped unread. Equal sets are one class. In a list, sets are compared with one hub; a set that is
-linked with the hub takes its answer (the group) from the hub's, and only sets that no hub answers are
-compared further, and only across groups. No link between different sets is lost, and groups of copies
-are not paired out.
+A set's shingles stand in one order for all sets, rare ones first. Two linked sets have a common shingle among the
+first few of each (the prefix), so only prefixes are indexed: a list holds, for one shingle, the sets that have it
+there, each with its size, the shingle's position and a sketch of the set. Lists are cut into blocks by size, and a
+set is met by the blocks it can be linked with only; within a block, position and sketch bound the overlap of two
+sets before they become a pair. Equal sets are one class. In a block, sets are compared with one hub; a set
+that is linked with the hub takes its answer (the group) from the hub's, and only sets that no hub answers are
+compared further, and only across groups. No link between different sets is lost, and groups of copies are
+not paired out.
 """
 
-import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratelens.llm.common import linked_groups, small, staged, with_ids_as_text
-from ratelens.llm.hashing import WordHashes, lowered, mixed, shingles
+from ratelens.llm.common import linked_groups, small, staged
+from ratelens.llm.hashing import grouped_texts, shingles_of
 
 WIDTH, PERCENT = 4, 85
-#: Sizes of a class differ by this factor at most.
+#: Sizes of a block differ by this factor at most.
 CLASS = 0.7
-
-
-def bounds(size: int) -> list[tuple[int, int, int, int]]:
-    """(class, largest size, most differences, blocks) under which a set of ``size`` is indexed.
-
-    A class holds the sizes from CLASS * top to top. A pair is indexed in the class of its smaller set, so
-    a set stands in its own class and, if a set of the class below can be linked with it, in that one too.
-    """
-    out = []
-    own = 0
-    tops = class_tops(size)
-    for own in range(max(0, len(tops) - 2), len(tops)):
-        top = tops[own]
-        low = tops[own - 1] + 1 if own else 1
-        if own == len(tops) - 1 or size * PERCENT <= 100 * top:
-            most = (100 - PERCENT) * (top + top * 100 // PERCENT) // (100 + PERCENT)
-            blocks = most + 1 + math.ceil(0.08 * most) + 4 if most else 0
-            if low <= top and blocks:
-                out.append((own, top, most, blocks))
-    return out
+#: Shingles are counted in so many cells, which order them; a cell's count is that of all shingles in it.
+CELLS, PARTS = 1 << 22, 64
+#: Bits of a sketch: the parity of the number of shingles that fall on each.
+SKETCH = 512
 
 
 def class_tops(size: int) -> list[int]:
@@ -53,73 +40,136 @@ def class_tops(size: int) -> list[int]:
     return tops
 
 
-def block_keys(hashes: np.ndarray, cached: dict) -> np.ndarray:
-    """Index keys of one set: a hash of (class, position, content) for each block that has shingles."""
-    size = len(hashes)
-    if size not in cached:
-        cached[size] = bounds(size)
-    keys = []
-    with np.errstate(over="ignore"):
-        content = mixed(hashes)
-        for own, _, most, blocks in cached[size]:
-            place = ((hashes >> np.uint64(32)) * np.uint64(blocks)) >> np.uint64(32)
-            first = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
-            sums = np.add.reduceat(content, first)
-            at = place[first] + np.uint64(own << 32)
-            keys.append(mixed(sums ^ mixed(at * np.uint64(2) + np.uint64(1))))
-            if len(first) <= most:  # equal blocks may all be empty ones: index those by position
-                empty = np.setdiff1d(np.arange(blocks, dtype=np.uint64), place[first])
-                keys.append(mixed(mixed((empty + np.uint64(own << 32)) * np.uint64(2))))
-    return np.concatenate(keys).view(np.int64) if keys else np.empty(0, np.int64)
+def classes(size: int, percent: int = PERCENT) -> list[int]:
+    """The blocks by size in which a set stands: its own, and the one below if a set of it can be linked with it.
 
+    Two linked sets share the block of the smaller one.
+    """
+    tops = class_tops(size)
+    own = len(tops) - 1
+    return [own - 1, own] if own and size * percent <= 100 * tops[own - 1] else [own]
 
-def signature(hashes: np.ndarray) -> int:
-    """A set's node: 63 bits of the hash of all its shingles."""
-    return xxhash.xxh3_64_intdigest(hashes.tobytes()) >> 1
 
+def prefix(size: int, percent: int = PERCENT) -> int:
+    """How many shingles of a set are indexed: without them, fewer are left than any linked set must share."""
+    return size - -(-percent * size // 100) + 1
 
-def sets(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """(doc_id, n_shingles, node, keys): one row a document; keys only once a task for equal sets."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes, cached, seen = WordHashes(), {}, set()
+def ordered(hashes: np.ndarray, levels: np.ndarray) -> np.ndarray:
+    """The sorted ``hashes`` with those of frequent cells after those of rarer ones."""
+    level = levels[hashes & np.uint64(CELLS - 1)]
+    return hashes[np.argsort(level, kind="stable")] if level.any() else hashes
+
+
+def sketch(hashes: np.ndarray) -> np.ndarray:
+    """SKETCH parities as longs: two sets differ in as many shingles at least as their sketches differ in bits."""
+    places = (hashes >> np.uint64(40)).astype(np.int64) & (SKETCH - 1)
+    return np.packbits(np.bincount(places, minlength=SKETCH).astype(np.uint8) & 1, bitorder="little").view(np.int64)
+
+
+def each_set(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[pa.RecordBatch, int, np.ndarray]]:
+    """(batch, row in it, sorted distinct shingles) of every row."""
+    for batch in batches:
+        for row, offsets, data in grouped_texts(batch.column("text")):
+            bounds, hashes = shingles_of(offsets, data, width)
+            for r in range(len(offsets) - 1):
+                yield batch, row + r, hashes[bounds[r] : bounds[r + 1]]
+
+
+def frequencies(docs: DataFrame, width: int = WIDTH) -> np.ndarray:
+    """A level for every cell: 0 for cells of a usual count, else higher with the logarithm of the count.
+
+    All shingles of all documents are counted. Tasks hand on their counts in PARTS pieces, which are added
+    up by piece; the driver gets one byte a cell. The level orders shingles; whatever it is, no link is lost.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count = np.zeros(CELLS, np.uint32)
         for batch in batches:
-            rows = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-                found = shingles(hashes.of(lowered(text)), width)
-                node, keys = (signature(found), []) if len(found) else (None, [])
-                if node is not None and node not in seen:
-                    keys = block_keys(found, cached)
-                    if len(seen) >= 200_000:
-                        seen.clear()
-                    seen.add(node)
-                rows.append((doc_id, len(found), node, keys))
-            columns = list(zip(*rows, strict=True)) if rows else [[], [], [], []]
-            yield pd.DataFrame({"doc_id": columns[0], "n_shingles": columns[1], "node": pd.array(columns[2], "Int64"), "keys": columns[3]})
-
-    schema = "doc_id string, n_shingles long, node long, keys array<long>"
-    return with_ids_as_text(docs.select("doc_id", "text"), run, schema, "doc_id")
+            for _, offsets, data in grouped_texts(batch.column("text")):
+                count += np.bincount(shingles_of(offsets, data, width)[1] & np.uint64(CELLS - 1), minlength=CELLS).astype(np.uint32)
+        pieces = [zlib.compress(c.astype(np.int64).tobytes(), 1) for c in np.split(count, PARTS)]
+        task = TaskContext.get().partitionId()
+        yield pa.RecordBatch.from_arrays([pa.array(range(PARTS), pa.int32()), pa.array([task % 64] * PARTS, pa.int32()), pa.array(pieces)], names=["part", "task", "counts"])
+
+    def added(rows: pd.DataFrame) -> pd.DataFrame:
+        total = sum(np.frombuffer(zlib.decompress(c), np.int64) for c in rows["counts"])
+        return pd.DataFrame({"part": rows["part"][:1], "task": rows["task"][:1], "counts": [zlib.compress(total.tobytes(), 1)]})
+
+    counts = docs.select("text").mapInArrow(run, "part int, task int, counts binary")
+    for by in (["part", "task"], ["part"]):  # in two steps, so that no group has a row of every task
+        counts = counts.groupBy(*by).applyInPandas(added, counts.schema)
+    found = {r.part: np.frombuffer(zlib.decompress(r.counts), np.int64) for r in counts.collect()}  # PARTS rows, CELLS counts
+    if not found:
+        return np.zeros(CELLS, np.uint8)
+    count = np.concatenate([found[k] for k in range(PARTS)])
+    mean = count.mean()
+    usual = mean + 6 * np.sqrt(mean) + 8  # beyond the chance sum of rare shingles in one cell
+    return np.where(count <= usual, 0, 1 + np.log2(np.maximum(count / usual, 1))).astype(np.uint8)
+
+
+def sets(docs: DataFrame, shared, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """(row, n_shingles, signature, prefix, sketch): one row a document; prefixes only once a task for equal sets.
+
+    ``docs`` has row and text, ``shared`` the broadcast levels. The signature has 128 bits; null without words.
+    """
+    fields = [("row", pa.int64()), ("n_shingles", pa.int64()), ("signature", pa.binary()), ("prefix", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64()))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
+        rows: list[tuple] = []
+        for batch, at, found in each_set(batches, width):
+            node, first, bits = xxhash.xxh3_128_digest(found.tobytes()) if len(found) else None, [], []
+            if node is not None and node not in seen:
+                first = ordered(found, shared.value)[: prefix(len(found), percent)].view(np.int64)
+                bits = sketch(found)
+                if len(seen) >= 200_000:
+                    seen.clear()
+                seen.add(node)
+            rows.append((batch.column("row")[at].as_py(), len(found), node, first, bits))
+            if len(rows) >= 1000:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, (_, k) in zip(zip(*rows, strict=True), fields, strict=True)], names=[n for n, _ in fields])
+                rows = []
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, (_, k) in zip(zip(*rows, strict=True), fields, strict=True)], names=[n for n, _ in fields])
+
+    return docs.select("row", "text").mapInArrow(run, "row long, n_shingles long, signature binary, prefix array<long>, sketch array<long>")
 
 
 def members(docs: DataFrame, nodes: DataFrame, width: int = WIDTH) -> DataFrame:
-    """(node, shingles) once for each of ``nodes``: the hashes as bytes, built anew from the texts."""
+    """(node, shingles) of ``nodes`` (row, node): the hashes as bytes, built anew from the texts of these rows."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes, seen = WordHashes(), set()
-        for batch in batches:
-            rows = []
-            for text in batch["text"]:
-                found = shingles(hashes.of(lowered(text)), width)
-                node = signature(found) if len(found) else None
-                if node is not None and node not in seen:
-                    if len(seen) >= 200_000:
-                        seen.clear()
-                    seen.add(node)
-                    rows.append((node, found.tobytes()))
-            yield pd.DataFrame(rows, columns=["node", "shingles"]).astype({"node": "int64"})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[tuple] = []
+        for batch, at, found in each_set(batches, width):
+            rows.append((batch.column("node")[at].as_py(), found.tobytes()))
+            if len(rows) >= 200:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], names=["node", "shingles"])
+                rows = []
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], names=["node", "shingles"])
+
+    wanted = docs.select("row", "text").join(small(nodes.select(F.col("node").alias("row"))), "row", "left_semi")
+    return staged(wanted.select(F.col("row").alias("node"), "text").mapInArrow(run, "node long, shingles binary"), "none")
 
-    every = docs.select("text").mapInPandas(run, "node long, shingles binary")
-    return staged(every.join(small(nodes), "node", "left_semi").dropDuplicates(["node"]))
+
+def possible(percent: int = PERCENT):
+    """SQL on the infos of two entries of a list that linked sets pass where their first common shingle is.
+
+    Their sizes, what the positions leave for the overlap, and the sketches' distance, which differing
+    shingles bound from above.
+    """
+
+    def condition(x: str, y: str) -> str:
+        both = f"({x}.size + {y}.size)"
+        bits = " + ".join(f"bit_count({x}.sketch[{k}] ^ {y}.sketch[{k}])" for k in range(SKETCH // 64))
+        return (
+            f"100 * least({x}.size, {y}.size) >= {percent} * greatest({x}.size, {y}.size)"
+            f" and {100 + percent} * least({x}.size - {x}.pos, {y}.size - {y}.pos) >= {percent} * {both}"
+            f" and {100 + percent} * ({bits}) <= {100 - percent} * {both}"
+        )
+
+    return condition
 
 
 def similar(pairs: DataFrame, found: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -130,8 +180,10 @@ def similar(pairs: DataFrame, found: DataFrame, percent: int = PERCENT) -> DataF
             keep = []
             for x, y in zip(batch["x"], batch["y"], strict=True):
                 left, right = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                union = len(np.union1d(left, right))
-                keep.append(100 * (len(left) + len(right) - union) >= percent * union)
+                both = np.concatenate([left, right])
+                both.sort(kind="stable")
+                common = int(np.count_nonzero(both[1:] == both[:-1]))
+                keep.append(100 * common >= percent * (len(both) - common))
             yield batch.loc[keep, ["a", "b"]]
 
     left = found.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
@@ -140,28 +192,46 @@ def similar(pairs: DataFrame, found: DataFrame, percent: int = PERCENT) -> DataF
 
 
 def grouped(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, node, component of every row of ``docs``.
+    """row, n_shingles, node, component of every row of ``docs`` (row: a long that tells rows apart, text).
 
     ``component`` is null for a document without words, which is linked with nothing; rows with equal
-    shingle sets have one node. A null text has no words. Shingles are compared by 64-bit hashes. Any
-    doc_id may be null or repeated: groups are made of sets, not of ids. Other columns are not read.
+    shingle sets have one node, the smallest row. A null text has no words. Shingles are compared by 64-bit
+    hashes, whole sets by 128 bits. An empty table gives no rows. Other columns are not read.
     """
-    if (width, percent) != (WIDTH, PERCENT) and percent < PERCENT:
-        raise ValueError(f"blocks are laid out for {PERCENT} percent or more")
-    rows = staged(sets(docs, width))
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast(frequencies(docs, width))  # CELLS bytes
+    rows = staged(sets(docs, shared, width, percent))
+    nodes = rows.where("signature is not null").groupBy("signature").agg(F.min("row").alias("node"), F.count("*").alias("copies"))
+    known = staged(rows.select("row", "n_shingles", "signature").join(nodes, "signature", "left").select("row", "n_shingles", "node"))
+    one = rows.join(known.where("row = node").select("row"), "row").withColumnRenamed("row", "node")
+    one = staged(one.select("node", F.col("n_shingles").cast("int").alias("size"), "prefix", "sketch"), "zstd")
     # One exchange serves the aggregation and the join; a hot key's rows stream through both.
-    lists = rows.select(F.explode("keys").alias("key"), "node").repartition("key")
-    shared = lists.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("key")
-    lists = staged(lists.join(shared, "key").distinct())
+    entries = one.select("node", "size", F.posexplode("prefix").alias("pos", "token")).repartition("token")
+    common = entries.groupBy("token").agg(F.count("*").alias("n")).where("n > 1").select("token")
+    entries = staged(entries.join(common, "token"))
+    stands = F.udf(lambda size: classes(size, percent), "array<int>")
+    sizes = staged(entries.select("size").distinct().withColumn("classes", stands("size")))  # a row a size
+    info = F.struct("size", "pos", "sketch").alias("info")
+    blocks = entries.join(small(sizes), "size").select("node", "size", "pos", F.explode("classes").alias("class"), "token")
+    lists = staged(blocks.join(one.select("node", "sketch"), "node").select(F.xxhash64("token", "class").alias("key"), "node", info))
     found = members(docs, staged(lists.select("node").distinct()), width)
-    groups = linked_groups(lists, lambda pairs: similar(pairs, found, percent))
-    out = rows.select("doc_id", "n_shingles", "node").join(groups.withColumnRenamed("comp", "component"), "node", "left")
-    return out.withColumn("component", F.coalesce("component", "node")).select("doc_id", "n_shingles", "node", "component")
+    groups = linked_groups(lists, lambda pairs: similar(pairs, found, percent), possible(percent))
+    out = known.join(groups.withColumnRenamed("comp", "component"), "node", "left")
+    return out.withColumn("component", F.coalesce("component", "node")).select("row", "n_shingles", "node", "component")
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """A written copy of ``docs`` with a number ``row``, so that equal rows and ids are told apart."""
+    return staged(docs.withColumn("row", F.monotonically_increasing_id()), "zstd")
 
 
 def components_of(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id (the smallest doc_id reachable, null where all are null)."""
-    rows = staged(grouped(docs))
+    """doc_id, n_shingles, component_id (the smallest doc_id reachable, null where all are null).
+
+    A document without words is its own component. Ids may be null or repeated. See ``grouped``.
+    """
+    marked = numbered(docs.select("doc_id", "text"))
+    rows = staged(grouped(marked).join(marked.select("row", "doc_id"), "row"))
     least = rows.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("least"))
     return rows.join(least, "component", "left").select(
         "doc_id", "n_shingles", F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id")
@@ -170,9 +240,9 @@ def components_of(docs: DataFrame) -> DataFrame:
 
 def survivors(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each group, that of the smallest doc_id (null first), and all rows without words."""
-    marked = staged(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.monotonically_increasing_id().alias("number")))
-    rows = staged(grouped(marked.select(F.col("number").alias("doc_id"), "row.text")).select(F.col("doc_id").alias("number"), "component"))
-    known = rows.where("component is not null").join(marked.select("number", "row.doc_id"), "number")
-    first = known.groupBy("component").agg(F.min(F.struct("doc_id", "number")).alias("first")).select("first.number")
-    kept = first.unionByName(rows.where("component is null").select("number"))
-    return marked.join(kept, "number", "left_semi").select("row.*")
+    marked = numbered(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document")))
+    rows = staged(grouped(marked.select("row", F.col("document.text").alias("text"))).select("row", "component"))
+    known = rows.where("component is not null").join(marked.select("row", "document.doc_id"), "row")
+    first = known.groupBy("component").agg(F.min(F.struct("doc_id", "row")).alias("first")).select("first.row")
+    kept = first.unionByName(rows.where("component is null").select("row"))
+    return marked.join(kept, "row", "left_semi").select("document.*")

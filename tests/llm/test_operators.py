@@ -161,10 +161,12 @@ def test_chains_of_near_copies(spark):
     assert rows(jaccard.components_of(df), "doc_id", "n_shingles", "component_id") == plain_groups(plain)
 
 
-def test_linked_sets_share_a_block():
+def test_linked_sets_meet_where_they_may():
+    """The first common shingle stands in both prefixes, in a shared block, and passes all bounds."""
     rng = np.random.default_rng(1)
     linked = 0
-    for n in (6, 7, 8, 10, 14, 20, 33, 50, 100, 333):
+    levels = rng.integers(0, 3, jaccard.CELLS).astype(np.uint8)
+    for n in (1, 2, 6, 7, 8, 10, 14, 20, 33, 50, 100, 333):
         for _ in range(150):
             base = np.unique(rng.integers(0, 2**64, n, dtype=np.uint64))
             drop, more = rng.integers(0, int(n * 0.16) + 1, 2)
@@ -172,10 +174,46 @@ def test_linked_sets_share_a_block():
             both, union = len(np.intersect1d(base, other)), len(np.union1d(base, other))
             if 100 * both >= 85 * union and both != union:
                 linked += 1
-                assert set(jaccard.block_keys(base, {})) & set(jaccard.block_keys(other, {}))
+                x, y = jaccard.ordered(base, levels), jaccard.ordered(other, levels)
+                i = next(k for k, h in enumerate(x) if h in other)
+                j = int(np.flatnonzero(y == x[i])[0])
+                assert i < jaccard.prefix(len(x)) and j < jaccard.prefix(len(y))
+                assert 185 * min(len(x) - i, len(y) - j) >= 85 * (len(x) + len(y))
+                assert set(jaccard.classes(len(x))) & set(jaccard.classes(len(y)))
+                bits = sum(int(a ^ b).bit_count() for a, b in zip(jaccard.sketch(x).view(np.uint64), jaccard.sketch(y).view(np.uint64), strict=True))
+                assert 185 * bits <= 15 * (len(x) + len(y))
     assert linked > 500
 
 
+def test_shingles_of_bytes():
+    """Words of a batch, whatever stands at the bounds of texts and pieces."""
+    import pyarrow as pa
+
+    from ratelens.llm import hashing
+
+    texts = ["a b c d e", "A  B\tc\nd e", None, "", " ", "a b c", "d", "e", "x" * 300 + " y", "é è\x0bê ë ì", "a b c d a b c d"] * 3
+    for piece in (7, 1 << 20):
+        old, hashing.PIECE = hashing.PIECE, piece
+        try:
+            got = []
+            for _, offsets, data in hashing.grouped_texts(pa.array(["skipped", *texts]).slice(1), 100):
+                bounds, h = hashing.shingles_of(offsets, data, 4)
+                got += [set(h[a:b].tolist()) for a, b in zip(bounds, bounds[1:], strict=False)]
+        finally:
+            hashing.PIECE = old
+        want = []
+        for t in texts:
+            w = lower(t).split()
+            want.append({tuple(w[i : i + 4]) for i in range(len(w) - 3)} if len(w) >= 4 else {tuple(w)} if w else set())
+        assert len(got) == len(want)
+        name: dict = {}
+        for g, w in zip(got, want, strict=True):
+            assert len(g) == len(w)
+            if len(w) == 1:
+                assert name.setdefault(next(iter(w)), next(iter(g))) == next(iter(g))
+        assert len(set(name.values())) == len(name)
+
+
 def test_survivors(docs, plain):
     kept = jaccard.survivors(docs)
     groups = plain_groups(plain)
