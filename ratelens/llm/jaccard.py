@@ -172,8 +172,8 @@ def possible(percent: int = PERCENT):
     return condition
 
 
-def similar(pairs: DataFrame, found: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose sets have the similarity."""
+def similar(pairs: DataFrame, docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """Those of ``pairs`` (a, b: rows of ``docs``) whose sets have the similarity. Only sets of pairs are built."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -186,6 +186,7 @@ def similar(pairs: DataFrame, found: DataFrame, percent: int = PERCENT) -> DataF
                 keep.append(100 * common >= percent * (len(both) - common))
             yield batch.loc[keep, ["a", "b"]]
 
+    found = members(docs, staged(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()), width)
     left = found.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
     right = found.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInPandas(run, "a long, b long")
@@ -214,8 +215,7 @@ def grouped(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> Data
     info = F.struct("size", "pos", "sketch").alias("info")
     blocks = entries.join(small(sizes), "size").select("node", "size", "pos", F.explode("classes").alias("class"), "token")
     lists = staged(blocks.join(one.select("node", "sketch"), "node").select(F.xxhash64("token", "class").alias("key"), "node", info))
-    found = members(docs, staged(lists.select("node").distinct()), width)
-    groups = linked_groups(lists, lambda pairs: similar(pairs, found, percent), possible(percent))
+    groups = linked_groups(lists, lambda pairs: similar(pairs, docs, width, percent), possible(percent))
     out = known.join(groups.withColumnRenamed("comp", "component"), "node", "left")
     return out.withColumn("component", F.coalesce("component", "node")).select("row", "n_shingles", "node", "component")
 
