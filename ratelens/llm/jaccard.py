@@ -61,10 +61,23 @@ def ordered(hashes: np.ndarray, levels: np.ndarray) -> np.ndarray:
     return hashes[np.argsort(level, kind="stable")] if level.any() else hashes
 
 
-def sketch(hashes: np.ndarray) -> np.ndarray:
-    """SKETCH parities as longs: two sets differ in as many shingles at least as their sketches differ in bits."""
-    places = (hashes >> np.uint64(40)).astype(np.int64) & (SKETCH - 1)
-    return np.packbits(np.bincount(places, minlength=SKETCH).astype(np.uint8) & 1, bitorder="little").view(np.int64)
+def sketch(hashes: np.ndarray, bits: int = SKETCH) -> np.ndarray:
+    """Parities as longs: two sets differ in as many shingles at least as their sketches differ in bits."""
+    places = (hashes >> np.uint64(22)).astype(np.int64) & (bits - 1)
+    return np.packbits(np.bincount(places, minlength=bits).astype(np.uint8) & 1, bitorder="little").view(np.int64)
+
+
+def wide(hashes: np.ndarray) -> bytes:
+    """A sketch of two bits a shingle and more; its halves' difference is the sketch of half the bits."""
+    return sketch(hashes, max(SKETCH, 1 << (2 * len(hashes) - 1).bit_length())).tobytes()
+
+
+def apart(x: bytes, y: bytes) -> int:
+    """Bits in which two wide sketches differ, the wider one folded."""
+    a, b = sorted((np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)), key=len)
+    while len(b) > len(a):
+        b = b[: len(b) // 2] ^ b[len(b) // 2 :]
+    return int(np.bitwise_count(a ^ b).sum())
 
 
 def each_set(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[pa.RecordBatch, int, np.ndarray]]:
@@ -109,31 +122,32 @@ def frequencies(docs: DataFrame, width: int = WIDTH) -> np.ndarray:
 
 
 def sets(docs: DataFrame, shared, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """(row, n_shingles, signature, prefix, sketch): one row a document; prefixes only once a task for equal sets.
+    """(row, n_shingles, signature, prefix, sketch, wide): one row a document; the last three once a task for equal sets.
 
     ``docs`` has row and text, ``shared`` the broadcast levels. The signature has 128 bits; null without words.
     """
-    fields = [("row", pa.int64()), ("n_shingles", pa.int64()), ("signature", pa.binary()), ("prefix", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64()))]
+    fields = [("row", pa.int64()), ("n_shingles", pa.int64()), ("signature", pa.binary()), ("prefix", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64())), ("wide", pa.binary())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
         rows: list[tuple] = []
         for batch, at, found in each_set(batches, width):
             node, first, bits = xxhash.xxh3_128_digest(found.tobytes()) if len(found) else None, [], []
+            far = b""
             if node is not None and node not in seen:
                 first = ordered(found, shared.value)[: prefix(len(found), percent)].view(np.int64)
-                bits = sketch(found)
+                bits, far = sketch(found), wide(found)
                 if len(seen) >= 200_000:
                     seen.clear()
                 seen.add(node)
-            rows.append((batch.column("row")[at].as_py(), len(found), node, first, bits))
+            rows.append((batch.column("row")[at].as_py(), len(found), node, first, bits, far))
             if len(rows) >= 1000:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, (_, k) in zip(zip(*rows, strict=True), fields, strict=True)], names=[n for n, _ in fields])
                 rows = []
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, (_, k) in zip(zip(*rows, strict=True), fields, strict=True)], names=[n for n, _ in fields])
 
-    return docs.select("row", "text").mapInArrow(run, "row long, n_shingles long, signature binary, prefix array<long>, sketch array<long>")
+    return docs.select("row", "text").mapInArrow(run, "row long, n_shingles long, signature binary, prefix array<long>, sketch array<long>, wide binary")
 
 
 def members(docs: DataFrame, nodes: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -172,6 +186,19 @@ def possible(percent: int = PERCENT):
     return condition
 
 
+def near(pairs: DataFrame, one: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """``pairs`` (a, b) without those whose wide sketches tell that they differ in too many shingles."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            most = (100 - percent) * (batch["m"] + batch["n"]) // (100 + percent)
+            yield batch.loc[[apart(x, y) <= d for x, y, d in zip(batch["x"], batch["y"], most, strict=True)], ["a", "b"]]
+
+    left = one.select(F.col("node").alias("a"), F.col("size").alias("m"), F.col("wide").alias("x"))
+    right = one.select(F.col("node").alias("b"), F.col("size").alias("n"), F.col("wide").alias("y"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "m", "n", "x", "y").mapInPandas(run, "a long, b long")
+
+
 def similar(pairs: DataFrame, docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """Those of ``pairs`` (a, b: rows of ``docs``) whose sets have the similarity. Only sets of pairs are built."""
 
@@ -205,17 +232,20 @@ def grouped(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> Data
     nodes = rows.where("signature is not null").groupBy("signature").agg(F.min("row").alias("node"), F.count("*").alias("copies"))
     known = staged(rows.select("row", "n_shingles", "signature").join(nodes, "signature", "left").select("row", "n_shingles", "node"))
     one = rows.join(known.where("row = node").select("row"), "row").withColumnRenamed("row", "node")
-    one = staged(one.select("node", F.col("n_shingles").cast("int").alias("size"), "prefix", "sketch"), "zstd")
+    one = staged(one.select("node", F.col("n_shingles").cast("int").alias("size"), "prefix", "sketch", "wide"), "zstd")
     # One exchange serves the aggregation and the join; a hot key's rows stream through both.
     entries = one.select("node", "size", F.posexplode("prefix").alias("pos", "token")).repartition("token")
-    common = entries.groupBy("token").agg(F.count("*").alias("n")).where("n > 1").select("token")
-    entries = staged(entries.join(common, "token"))
+    each = [F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"print{k}") for k in range(2)]
+    lists = entries.groupBy("token").agg(F.count("*").alias("n"), F.sum("pos").alias("at"), *each).where("n > 1")
+    # Of lists with the same sets the first in order serves: a pair's first common shingle is never that of another.
+    first = lists.groupBy("n", "print0", "print1").agg(F.min(F.struct("at", "token")).alias("first")).select("first.token")
+    entries = staged(entries.join(first, "token"))
     stands = F.udf(lambda size: classes(size, percent), "array<int>")
     sizes = staged(entries.select("size").distinct().withColumn("classes", stands("size")))  # a row a size
     info = F.struct("size", "pos", "sketch").alias("info")
     blocks = entries.join(small(sizes), "size").select("node", "size", "pos", F.explode("classes").alias("class"), "token")
     lists = staged(blocks.join(one.select("node", "sketch"), "node").select(F.xxhash64("token", "class").alias("key"), "node", info))
-    groups = linked_groups(lists, lambda pairs: similar(pairs, docs, width, percent), possible(percent))
+    groups = linked_groups(lists, lambda pairs: similar(staged(near(pairs, one, percent)), docs, width, percent), possible(percent))
     out = known.join(groups.withColumnRenamed("comp", "component"), "node", "left")
     return out.withColumn("component", F.coalesce("component", "node")).select("row", "n_shingles", "node", "component")
 
