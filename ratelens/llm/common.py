@@ -19,6 +19,8 @@ from ratelens.session import shared_folder
 SPACES = "[ \\x09-\\x0D]+"
 #: A side is broadcast only below this many rows (each of a bounded width).
 BROADCAST_ROWS = 500_000
+#: Earlier lists of a node that an entry carries.
+CARRIED = 32
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -155,21 +157,23 @@ def merged(groups: DataFrame, edges: DataFrame) -> DataFrame:
     return kept.unionByName(roots.join(groups.select("node"), "node", "left_anti"))
 
 
-def linked_groups(lists: DataFrame, verified: Callable[[DataFrame], DataFrame], possible: Callable[[str, str], str] | None = None, stars: int = 2) -> DataFrame:
+def linked_groups(lists: DataFrame, verified: Callable[[DataFrame], DataFrame], possible: Callable[[str, str], str] | None = None, order: str = "0", stars: tuple = (1, 8)) -> DataFrame:
     """(node, comp) of the graph whose links are the pairs that share a list and that ``verified`` keeps.
 
-    ``lists`` has (key, node) and, with ``possible``, info: a condition on the infos of two entries of a list
-    that no link may fail in every list it shares. A pair that fails it is not made. ``verified`` takes (a, b)
-    and returns those that are links. A list is first compared with one of its members, the hub, only: what is
-    linked with the hub has its answer from the hub's and needs no further comparison with others that have it
-    too. A list whose members are in one group is done. After ``stars`` rounds, what is left is compared pair by
-    pair, but only across groups. So no link between groups is lost, and no group of copies is paired out. Each
-    round joins the groups of the one before, not their members anew.
+    ``lists`` has (key, node) and, with ``possible``, info: a condition on the infos of two entries of a list that
+    a link may not fail in the first list it shares by ``order`` (SQL on an entry; the same order of lists for all
+    nodes, then by key). A pair that fails it is not made. ``verified`` takes (a, b)
+    and returns those that are links. A list is first compared with a few of its members, the hubs, only
+    (``stars``: how many in each round at most): what is linked with a hub has its answer from the hub's and needs
+    no further comparison with others that have it too. A list whose members are in one group is done. After
+    these rounds, what is left is compared pair by pair, but only across groups. So no link between groups is
+    lost, and no group of copies is paired out. Each round joins the groups of the one before, not their members
+    anew.
     """
     if possible is None:
         lists, possible = lists.withColumn("info", F.lit(0)), lambda x, y: "true"
     todo, groups = lists, None
-    for turn in range(stars + 1):
+    for turn in range(len(stars) + 1):
         if groups is not None:
             known = todo.join(groups, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
             open_ = known.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("key")
@@ -179,13 +183,22 @@ def linked_groups(lists: DataFrame, verified: Callable[[DataFrame], DataFrame],
         if turn and todo.isEmpty():
             break
         one = todo.select("key", F.col("node").alias("x"), F.col("info").alias("x_info"), "comp")
-        if turn < stars:
+        if turn < len(stars):
+            slot = F.pmod(F.xxhash64("node", F.lit(-1 - turn)), F.lit(stars[turn]))
             hub = F.min_by(F.struct("node", "comp", "info"), F.xxhash64("node", F.lit(turn))).alias("hub")
-            other = todo.groupBy("key").agg(hub).select("key", F.col("hub.node").alias("y"), F.col("hub.info").alias("y_info"), F.col("hub.comp").alias("c"))
+            other = todo.groupBy("key", slot).agg(hub).select("key", F.col("hub.node").alias("y"), F.col("hub.info").alias("y_info"), F.col("hub.comp").alias("c"))
             across = "comp <> c"
         else:
-            other = todo.select("key", F.col("node").alias("y"), F.col("info").alias("y_info"), F.col("comp").alias("c"))
+            # A pair is made in the first list that the two share, as far as the lists a node comes from are carried.
+            places = todo.groupBy("node", "comp").agg(F.sort_array(F.collect_list(F.struct(F.expr(order).alias("o"), "key", "info"))).alias("all"))
+            each = places.select("node", "comp", "all", F.posexplode("all").alias("at", "own"))
+            each = each.select("node", "comp", "own.key", "own.info", F.expr(f"slice(all.key, greatest(at - {CARRIED - 1}, 1), least(at, {CARRIED}))").alias("before"))
+            todo = staged(each)
+            one = todo.select("key", F.col("node").alias("x"), F.col("info").alias("x_info"), "comp", "before")
+            other = todo.select("key", F.col("node").alias("y"), F.col("info").alias("y_info"), F.col("comp").alias("c"), F.col("before").alias("y_before"))
             across = "comp < c"
+            made = possible
+            possible = lambda x, y: f"{made(x, y)} and not arrays_overlap(before, y_before)"
         pairs = one.alias("l").join(other.alias("r"), (F.col("l.key") == F.col("r.key")) & F.expr(across) & F.expr(possible("x_info", "y_info")))
         pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
         found = staged(verified(staged(pairs)))

@@ -245,7 +245,7 @@ def grouped(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> Data
     info = F.struct("size", "pos", "sketch").alias("info")
     blocks = entries.join(small(sizes), "size").select("node", "size", "pos", F.explode("classes").alias("class"), "token")
     lists = staged(blocks.join(one.select("node", "sketch"), "node").select(F.xxhash64("token", "class").alias("key"), "node", info))
-    groups = linked_groups(lists, lambda pairs: similar(staged(near(pairs, one, percent)), docs, width, percent), possible(percent))
+    groups = linked_groups(lists, lambda pairs: similar(staged(near(pairs, one, percent)), docs, width, percent), possible(percent), "info.pos")
     out = known.join(groups.withColumnRenamed("comp", "component"), "node", "left")
     return out.withColumn("component", F.coalesce("component", "node")).select("row", "n_shingles", "node", "component")
 
