@@ -53,8 +53,7 @@ def run_bronze(
 
     raw = _only(files.lines(spark, drop, "*.csv"), todo)
     profile = _written(csv_files.bronze_profile(raw), f"{work}/csv_profile")
-    readable = profile.filter("open_quotes = 0")
-    rows = _stamp(todo, csv_files.bronze_rows(raw, readable), ingest_date, "csv")
+    rows = _stamp(todo, csv_files.bronze_rows(raw, profile), ingest_date, "csv")
     sinks.overwrite_partitions(rows, f"{lake}/bronze/pt_csv", "ingest_date", "file_key")
 
     raw_json = _only(files.lines(spark, drop, "*.json"), todo)
@@ -77,11 +76,6 @@ def run_bronze(
     sinks.overwrite_partitions(stamped, f"{lake}/bronze/pt_json", "ingest_date", "file_key")
 
     errors = parsed.filter("error_message is not null").select("source_path", "error_message")
-    errors = errors.unionByName(
-        profile.filter("open_quotes > 0").select(
-            "source_path", F.lit(csv_files.OPEN_QUOTES).alias("error_message")
-        )
-    )
     outcome = todo.join(errors, "source_path", "left")
     sinks.append(files.manifest_rows(outcome, ingest_date), f"{lake}/manifest")
     loaded = outcome.select(
@@ -135,9 +129,7 @@ def run_landing(
     raw = _only(files.lines(spark, drop, "*.csv"), todo)
     profile = _written(csv_files.landing_profile(raw), f"{work}/csv_profile")
     landed = _written(
-        csv_files.landing_rows(raw, profile.filter("open_quotes = 0")).withColumn(
-            "ingested_at", _now()
-        ),
+        csv_files.landing_rows(raw, profile).withColumn("ingested_at", _now()),
         f"{work}/csv_rows",
     )
     for hint, table in (("TALL", "pt_csv_raw_tall"), ("WIDE", "pt_csv_raw_wide")):

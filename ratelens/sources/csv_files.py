@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratelens.functions import blank_to_null
-from ratelens.sources.files import base_name, decoded, encodings, first_lines, with_line_numbers
+from ratelens.sources.csv_records import records
+from ratelens.sources.files import base_name, decoded, encodings, first_lines
 
 # Header detection.
 SNIFF_LINES = 15
@@ -19,8 +20,6 @@ CODE_WORDS = ("billing_code", "code", "cpt", "hcpcs", "revenue", "ndc", "msdrg",
 RATE_WORDS = (
     "negotiated", "gross", "cash", "min", "max", "standard_charge", "rate", "charge", "price",
 )
-# Fields that span lines cannot be told from broken ones by lines alone; such files are not read.
-OPEN_QUOTES = "quoted line breaks in the file"
 DELIMITERS = (",", "|", "\t", ";")
 MIN_PREAMBLE_COLUMNS = 5
 MAX_HEADER_COLUMNS = 200
@@ -97,7 +96,7 @@ def sniffed(raw: DataFrame) -> DataFrame:
     return (
         head.join(encodings(raw), "source_path")
         .withColumn("text", decoded())
-        .groupBy("source_path", "encoding", "open_quotes")
+        .groupBy("source_path", "encoding")
         .agg(in_order.alias("head"))
     )
 
@@ -106,7 +105,7 @@ def header_report(raw: DataFrame) -> DataFrame:
     """Detected header row of every comma-separated file and whether it looks like a charge table."""
     scored = (
         sniffed(raw)
-        .select("source_path", "encoding", "open_quotes", F.posexplode("head"))
+        .select("source_path", "encoding", F.posexplode("head"))
         .filter(F.col("pos") < HEADER_CANDIDATES)
         .withColumn("fields", F.transform(header_fields("col", ","), F.trim))
         .withColumn("score", header_score(F.col("fields")))
@@ -114,7 +113,7 @@ def header_report(raw: DataFrame) -> DataFrame:
     first = F.min_by(F.struct("pos", "score", "fields"), "pos")
     best = F.max_by(F.struct("pos", "score", "fields"), F.struct("score", -F.col("pos")))
     chosen = (
-        scored.groupBy("source_path", "encoding", "open_quotes")
+        scored.groupBy("source_path", "encoding")
         .agg(first.alias("first"), best.alias("best"))
         .withColumn(
             "pick", F.when(F.col("best.score") >= 2, F.col("best")).otherwise(F.col("first"))
@@ -128,7 +127,7 @@ def header_report(raw: DataFrame) -> DataFrame:
     has_code = named(CODE_WORDS + ("billing",))
     has_rate = named(RATE_WORDS)
     return chosen.select(
-        "source_path", "encoding", "open_quotes",
+        "source_path", "encoding",
         F.col("pick.pos").alias("header_row"),
         F.col("pick.score").alias("header_score"),
         F.col("pick.fields").alias("columns"),
@@ -163,7 +162,7 @@ def bronze_profile(raw: DataFrame) -> DataFrame:
     """What is needed to read each file's charge rows."""
     report = header_report(raw)
     return report.select(
-        "source_path", "encoding", "open_quotes", "header_row",
+        "source_path", "encoding", "header_row",
         F.size("columns").alias("header_count"),
         canonical_positions(F.col("columns")).alias("at"),
     )
@@ -184,9 +183,10 @@ def widest_header(profile: DataFrame) -> int:
 
 
 def canonical_rows(raw: DataFrame, profile: DataFrame) -> DataFrame:
-    """Data rows of every file under canonical names; lines with too many fields are skipped."""
+    """Data rows of every file under canonical names; records with too many fields are skipped."""
     width = widest_header(profile) + 1
-    numbered = with_line_numbers(raw).join(profile, "source_path")
+    marks = profile.withColumn("delimiter", F.lit(","))
+    numbered = records(raw, marks, ",").join(profile, "source_path")
     data = numbered.filter(F.col("line_no") > F.col("header_row")).withColumn("text", decoded())
     data = data.filter(F.trim("text") != "").withColumn(
         "fields", _row_fields(F.col("text"), ",", width)
@@ -255,7 +255,7 @@ def landing_profile(raw: DataFrame) -> DataFrame:
     )
     count = F.size("headers")
     return read.select(
-        "source_path", "encoding", "delimiter", "row1", "row2", "headers", "open_quotes",
+        "source_path", "encoding", "delimiter", "row1", "row2", "headers",
         count.alias("header_count"),
         F.when(count >= WIDE_COLUMNS, "WIDE").otherwise("TALL").alias("format_hint"),
         preamble_map(F.col("row1"), F.col("row2")).alias("preamble_kv"),
@@ -285,7 +285,7 @@ def preamble_map(row1: Column, row2: Column) -> Column:
 def landing_rows(raw: DataFrame, profile: DataFrame) -> DataFrame:
     """One JSON object per data row, keyed by the headers, with the row's place in the file."""
     width = widest_header(profile)
-    numbered = with_line_numbers(raw).join(profile, "source_path")
+    numbered = records(raw, profile, DELIMITERS).join(profile, "source_path")
     data = numbered.filter("line_no > 2").withColumn("text", decoded())
     fields = _by_delimiter(
         F.col("text"), F.col("delimiter"), lambda text, mark: _row_fields(text, mark, width)
@@ -314,9 +314,7 @@ def registry_rows(
     counts = loaded.groupBy("source_file_name").agg(F.count("*").alias("rows_loaded"))
     named = profile.withColumn("source_file_name", base_name("source_path"))
     rows = F.coalesce("rows_loaded", F.lit(0))
-    problem = F.when(F.col("open_quotes") > 0, OPEN_QUOTES).when(
-        rows == 0, "no rows loaded"
-    )
+    problem = F.when(rows == 0, "no rows loaded")
     return named.join(counts, "source_file_name", "left").select(
         "source_file_name",
         F.lit(run_id).alias("run_id"),

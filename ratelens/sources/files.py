@@ -75,8 +75,7 @@ def encodings(raw: DataFrame) -> DataFrame:
     """Encoding per file: UTF-8 when every line is valid, else Latin-1."""
     broken = F.count_if(~F.is_valid_utf8("bytes"))
     return raw.groupBy("source_path").agg(
-        F.when(broken == 0, "utf-8").otherwise("latin-1").alias("encoding"),
-        F.count_if(F.length(F.regexp_replace("bytes", '[^"]', "")) % 2 == 1).alias("open_quotes"),
+        F.when(broken == 0, "utf-8").otherwise("latin-1").alias("encoding")
     )
 
 
