@@ -589,6 +589,25 @@ SELECTS = {
     "s07_lenient_objects": """select line, count(*) as row_count from (
  select trim(unnest(string_split(text, chr(10)))) as line from documents
  union all select trim(props) from events) where line like '{%' and json_valid(line) group by 1""",
+    "s01_csv_rows": """select 'drop/' || l_suppkey || '.csv' as source_path, l_partkey::varchar as billing_code,
+ 'ship "' || l_linestatus || '"' || chr(10) || 'part, ' || l_suppkey as description,
+ trunc(l_extendedprice)::bigint::varchar as gross_charge, null::varchar as discounted_cash_price,
+ trunc(l_quantity)::bigint::varchar as negotiated_rate, l_linenumber || '" line' as payer_name,
+ null::varchar as plan_name from lineitem""",
+    "s02_preamble_rows": """select l_suppkey || '.csv' as source_file_name, 'TALL' as format_hint,
+ '{"billing_code":"' || l_partkey || '","description":"ship \\"' || l_linestatus || '\\"\\npart, ' || l_suppkey
+ || '","payer_name":"' || l_linenumber || '\\" line","gross_charge":"' || trunc(l_extendedprice)::bigint
+ || '","negotiated_rate":"' || trunc(l_quantity)::bigint || '","_meta_format_hint":"TALL","_meta_row_number":'
+ || 3 + row_number() over (partition by l_suppkey order by l_orderkey, l_linenumber, l_partkey,
+ l_linestatus, l_extendedprice, l_quantity)
+ || ',"_meta_header_column_count":5}' as raw from lineitem""",
+    "i09_header": """select distinct 'drop/' || l_suppkey || '.csv' as source_path, 'utf-8' as encoding,
+ 2 as header_row, 6 as header_score, 'billing_code|description|payer_name|gross_charge|negotiated_rate' as columns,
+ true as has_code_col, true as has_rate_col, true as looks_like_charge_table from lineitem""",
+    "i13_delimiter": """select distinct 'drop/' || l_suppkey || '.csv' as source_path, 'utf-8' as encoding,
+ ',' as delimiter, 'TALL' as format_hint, 5::bigint as header_count,
+ '{"hospital_name":"Fixture","state":"NY","license":"17","last_updated":"2024-01-01","version":"2.0"}' as preamble
+ from lineitem""",
 }
 
 EXTRA = {**LAKE, "files": """select 'doc_' || doc_id as source_file_name,

@@ -664,3 +664,32 @@ def _(m, spark, sf_dir):
     props = testdata.table(spark, sf_dir, "events").select(F.col("props").alias("line"))
     found = json_files.lenient_objects(prose.unionByName(props))
     return found.groupBy("line").agg(F.count("*").alias("row_count"))
+
+
+@query("s01_csv_rows")
+def _(m, spark, sf_dir):
+    """Canonical rows of CSV files with line breaks in quotes and stray quotes."""
+    raw = testdata.csv_lines(spark, sf_dir)
+    return csv_files.canonical_rows(raw, csv_files.bronze_profile(raw))
+
+
+@query("s02_preamble_rows")
+def _(m, spark, sf_dir):
+    """Landing rows of the same files, below a preamble."""
+    raw = testdata.csv_lines(spark, sf_dir)
+    return csv_files.landing_rows(raw, csv_files.landing_profile(raw))
+
+
+@query("i09_header")
+def _(m, spark, sf_dir):
+    report = csv_files.header_report(testdata.csv_lines(spark, sf_dir))
+    return report.withColumn("columns", F.array_join("columns", "|"))
+
+
+@query("i13_delimiter")
+def _(m, spark, sf_dir):
+    profile = csv_files.landing_profile(testdata.csv_lines(spark, sf_dir))
+    return profile.select(
+        "source_path", "encoding", "delimiter", "format_hint", F.col("header_count").cast("long").alias("header_count"),
+        F.to_json("preamble_kv").alias("preamble"),
+    )

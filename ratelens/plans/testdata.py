@@ -5,7 +5,7 @@ Each function is a plain projection, so the work of every query grows with the t
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ratelens.sources.tables import read_table
@@ -263,3 +263,36 @@ def bronze_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bronze(spark, sf_dir, "lake_tabular").unionByName(
         bronze(spark, sf_dir, "lake_payload"), allowMissingColumns=True
     )
+
+
+CSV_HEAD = (
+    "hospital_name,state,license,last_updated,version",
+    "Fixture,NY,17,2024-01-01,2.0",
+    'billing_code,"description",payer_name,gross_charge,negotiated_rate',
+)
+
+
+def csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Physical lines of one CSV file per supplier, as the line scan gives them, blocks included.
+
+    Every line item is a record of two lines, with doubled quotes and a line break in its description and a
+    stray quote in its payer; blocks also end within records.
+    """
+    # Keys repeat in this table: all that a record shows tells records apart.
+    in_file = Window.partitionBy("l_suppkey").orderBy(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_linestatus", "l_extendedprice", "l_quantity"
+    )
+    items = table(spark, sf_dir, "lineitem").withColumn("place", F.row_number().over(in_file).cast("long") * 2)
+    first = """concat(l_partkey, ',"ship ""', l_linestatus, '""')"""
+    second = """concat('part, ', l_suppkey, '",', l_linenumber, '" line,', cast(l_extendedprice as bigint), ',', cast(l_quantity as bigint))"""
+    parts = F.expr(f"array(struct(place as place, {first} as bytes), struct(place + 1 as place, {second} as bytes))")
+    path = F.concat(F.lit("drop/"), "l_suppkey", F.lit(".csv")).alias("source_path")
+    data = items.select(path, F.explode(parts).alias("line")).select(
+        "source_path", F.expr("(line.place + 1) div 512 + 1").alias("block"), "line.place", "line.bytes"
+    )
+    head = data.select("source_path").distinct().select(
+        "source_path", F.lit(0).cast("long").alias("block"), F.posexplode(F.array(*map(F.lit, CSV_HEAD))).alias("place", "bytes")
+    )
+    both = data.unionByName(head.withColumn("place", F.col("place").cast("long")))
+    order = Window.partitionBy("source_path", "block").orderBy("place")
+    return both.select("source_path", "block", (F.col("block") * 100_000 + F.row_number().over(order)).alias("position"), "bytes")
