@@ -33,23 +33,35 @@ def pieces(word: str, length: int) -> list[str]:
 
 
 def counts(sample: DataFrame) -> DataFrame:
-    """(lang, length, piece, n): words (length 0) and n-grams of the sample."""
+    """(lang, length, piece, n): words (length 0) and n-grams of the sample.
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    Words are counted first; n-grams are cut from distinct words and count as often as their word.
+    """
+
+    def words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             total: Counter = Counter()
             for lang, text in zip(batch["lang"], batch["text"], strict=True):
                 for word, n in Counter(LETTERS.findall(text.lower())).items():
-                    total[lang, 0, word] += n
-            for (lang, _, word), n in list(total.items()):
+                    total[lang, word] += n
+            keys = list(total)
+            yield pd.DataFrame({"lang": [k[0] for k in keys], "piece": [k[1] for k in keys], "n": list(total.values())})
+
+    def grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            total: Counter = Counter()
+            for lang, word, n in zip(batch["lang"], batch["piece"], batch["n"], strict=True):
                 for length in range(1, LONGEST + 1):
                     for piece in pieces(word, length):
                         total[lang, length, piece] += n
             keys = list(total)
             yield pd.DataFrame({"lang": [k[0] for k in keys], "length": [k[1] for k in keys], "piece": [k[2] for k in keys], "n": list(total.values())})
 
-    found = sample.select("lang", "text").mapInPandas(run, "lang string, length int, piece string, n long")
-    return found.groupBy("lang", "length", "piece").agg(F.sum("n").alias("n"))
+    parts = int(sample.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    known = sample.select("lang", "text").mapInPandas(words, "lang string, piece string, n long").groupBy("lang", "piece").agg(F.sum("n").alias("n"))
+    known = staged(known)
+    cut = known.repartition(parts).mapInPandas(grams, "lang string, length int, piece string, n long")
+    return known.select("lang", F.lit(0).alias("length"), "piece", "n").unionByName(cut.groupBy("lang", "length", "piece").agg(F.sum("n").alias("n")))
 
 
 class Model:
