@@ -604,6 +604,28 @@ SELECTS = {
     "i09_header": """select distinct 'drop/' || l_suppkey || '.csv' as source_path, 'utf-8' as encoding,
  2 as header_row, 6 as header_score, 'billing_code|description|payer_name|gross_charge|negotiated_rate' as columns,
  true as has_code_col, true as has_rate_col, true as looks_like_charge_table from lineitem""",
+    "s03_documents": """select 'drop/' || l_suppkey || '.json' as source_path,
+ '{"description":"part } \\"' || l_partkey || '\\" [","code_information":[{"code":"' || l_partkey || '","type":"CPT"}],'
+ || '"standard_charges":[{"setting":"' || l_linestatus || '","gross_charge":' || trunc(l_extendedprice)::bigint
+ || ',"payers_information":[{"payer_name":"' || l_returnflag || '","plan_name":"' || l_linenumber
+ || '","estimated_amount":' || trunc(l_quantity)::bigint || '}]}]}' as element from lineitem""",
+    "i20_services": """select l_suppkey || '.json' as source_file_name, 'run' as run_id,
+ 'standard_charge_information.item' as record_path, l_partkey::varchar as billing_code, 'CPT' as billing_code_type,
+ 'part } "' || l_partkey || '" [' as description, l_returnflag as payer, l_linenumber::varchar as plan,
+ trunc(l_quantity)::decimal(38,9) as negotiated_rate, 'estimated_amount' as rate_type, l_linestatus as billing_class,
+ null::varchar as payment_methodology, null::varchar as payment_unit,
+ '{"service":{"description":"part } \\"' || l_partkey || '\\" [","billing_code":"' || l_partkey
+ || '","billing_code_type":"CPT"},"standard_charge":{"setting":"' || l_linestatus || '","gross_charge":'
+ || trunc(l_extendedprice)::bigint || '.0,"discounted_cash":null,"minimum":null,"maximum":null},"payer":{"payer_name":"'
+ || l_returnflag || '","plan_name":"' || l_linenumber || '","methodology":null,"estimated_amount":'
+ || trunc(l_quantity)::bigint || '.0}}' as raw_rate from lineitem""",
+    "i01_content_hash": """with lines as (
+ select doc_id, strlen(text) + 1 as size, unnest(string_split(text, chr(10))) as line,
+ unnest(range(len(string_split(text, chr(10))))) as n from documents where text is not null),
+ hashed as (select doc_id, size, sha256(n || ':' || line) as d from lines),
+ sums as (select doc_id, max(size) as size, count(*) as n, sum(('0x' || d[1:16])::ubigint::hugeint) as a,
+ sum(('0x' || d[17:32])::ubigint::hugeint) as b from hashed group by doc_id)
+ select 'doc_' || doc_id as source_path, sha256(size || ':' || n || ':' || a || ':' || b) as file_hash from sums""",
     "i13_delimiter": """select distinct 'drop/' || l_suppkey || '.csv' as source_path, 'utf-8' as encoding,
  ',' as delimiter, 'TALL' as format_hint, 5::bigint as header_count,
  '{"hospital_name":"Fixture","state":"NY","license":"17","last_updated":"2024-01-01","version":"2.0"}' as preamble

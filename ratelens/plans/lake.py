@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ratelens.operators import silver
 from ratelens.schemas import CSV_REGISTRY, EXTRACTED_RATE, JSON_REGISTRY, MANIFEST
 from ratelens.session import configure
-from ratelens.sources import csv_files, files, json_files, sinks
+from ratelens.sources import csv_files, files, json_elements, json_files, sinks
 from ratelens.functions.jsonx import items, top_level
 
 
@@ -59,8 +59,22 @@ def run_bronze(
     raw_json = _only(files.lines(spark, drop, "*.json"), todo)
     shapes = _written(json_files.line_shapes(raw_json), f"{work}/json_shapes")
     wanted = _only(todo.filter("source_format = 'json'"), shapes.filter("not is_ndjson"))
-    docs = json_files.documents(spark, _paths(wanted))
-    parsed = _written(json_files.document_records(docs), f"{work}/documents")
+    texts = _only(json_elements.chunks(spark, drop), wanted)
+    cut = _written(json_elements.elements(texts), f"{work}/elements")
+    cuts = _written(json_elements.outcomes(cut), f"{work}/element_outcomes")
+    unsplit = wanted.join(cuts.filter("not whole and not broken"), "source_path", "left_anti")
+    docs = json_files.documents(spark, _paths(unsplit.filter(F.col("file_size_bytes") <= files.WHOLE_FILE)))
+    too_large = unsplit.filter(F.col("file_size_bytes") > files.WHOLE_FILE).select(
+        "source_path", *[F.lit(None).cast("string").alias(c) for c in ("record_json", "payload_json")],
+        F.lit("no array of objects in a file too large for one value").alias("error_message"),
+    )
+    split = cut.join(cuts.filter("not whole and not broken"), "source_path", "left_semi").select(
+        "source_path", F.to_json(F.try_parse_json("element")).alias("record_json"),
+        *[F.lit(None).cast("string").alias(c) for c in ("payload_json", "error_message")],
+    )
+    parsed = _written(
+        json_files.document_records(docs).unionByName(split).unionByName(too_large), f"{work}/documents"
+    )
     lines = json_files.ndjson_records(raw_json, shapes).withColumn(
         "payload_json", F.lit(None).cast("string")
     )
@@ -140,19 +154,26 @@ def run_landing(
 
     raw_json = _only(files.lines(spark, drop, "*.json"), todo)
     shapes = _written(json_files.line_shapes(raw_json), f"{work}/json_shapes")
-    docs = json_files.documents(spark, _paths(shapes.filter("not is_ndjson")))
+    single = _only(todo, shapes.filter("not is_ndjson"))
+    docs = json_files.documents(spark, _paths(single.filter(F.col("file_size_bytes") <= files.WHOLE_FILE)))
     sinks.append(json_files.landing_documents(docs, _now()), f"{lake}/pt_json_raw")
     meta = {
         "source_file_name": files.base_name("source_path"),
         "run_id": F.lit(run_id),
         "ingested_at": _now(),
     }
-    services = docs.withColumns(meta).select(
+    texts = _only(json_elements.chunks(spark, drop), single)
+    cut = _written(json_elements.elements(texts, "standard_charge_information"), f"{work}/elements")
+    cuts = _written(json_elements.outcomes(cut), f"{work}/element_outcomes")
+    named = cut.join(cuts.filter("not whole and not broken"), "source_path", "left_semi")
+    services = named.withColumns(meta).select(*meta, F.try_parse_json("element").alias("service"))
+    whole = docs.join(cuts.filter("whole"), "source_path", "left_semi").withColumns(meta).select(
         *meta,
         F.explode(
             items(top_level(json_files.from_start("document"), "standard_charge_information"))
         ).alias("service"),
     )
+    services = services.unionByName(whole)
     lines = json_files.ndjson_records(raw_json, shapes).withColumns(meta)
     records = json_files.lenient_objects(lines, "record_json")
     extracted = json_files.extract_services(services).unionByName(

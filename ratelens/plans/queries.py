@@ -29,7 +29,7 @@ from ratelens.plans import testdata
 from ratelens.plans.marts import from_test_tables
 from ratelens.schemas import SOURCE_SYSTEMS
 from ratelens.session import configure
-from ratelens.sources import csv_files, files, json_files
+from ratelens.sources import csv_files, files, json_elements, json_files
 
 QUERIES = {}
 
@@ -693,3 +693,27 @@ def _(m, spark, sf_dir):
         "source_path", "encoding", "delimiter", "format_hint", F.col("header_count").cast("long").alias("header_count"),
         F.to_json("preamble_kv").alias("preamble"),
     )
+
+
+@query("s03_documents")
+def _(m, spark, sf_dir):
+    """Elements of the array in JSON documents that were split at braces, blocks and all."""
+    cut = json_elements.elements(testdata.json_chunks(spark, sf_dir), "standard_charge_information")
+    return cut.select("source_path", "element")
+
+
+@query("i20_services")
+def _(m, spark, sf_dir):
+    """Rates extracted from the services of the same documents."""
+    cut = json_elements.elements(testdata.json_chunks(spark, sf_dir), "standard_charge_information")
+    services = cut.select(
+        files.base_name("source_path").alias("source_file_name"), F.lit("run").alias("run_id"),
+        F.current_timestamp().alias("ingested_at"), F.try_parse_json("element").alias("service"),
+    )
+    return json_files.extract_services(services).drop("ingested_at")
+
+
+@query("i01_content_hash")
+def _(m, spark, sf_dir):
+    """Fingerprint of every document from its lines, as for files too large for one value."""
+    return files.fingerprint(testdata.document_lines(spark, sf_dir))

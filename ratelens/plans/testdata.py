@@ -296,3 +296,46 @@ def csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = data.unionByName(head.withColumn("place", F.col("place").cast("long")))
     order = Window.partitionBy("source_path", "block").orderBy("place")
     return both.select("source_path", "block", (F.col("block") * 100_000 + F.row_number().over(order)).alias("position"), "bytes")
+
+
+JSON_HEAD = '{"hospital_name":"H } x","locations":[{"no":[1]}],"standard_charge_information":['
+JSON_TAIL = '],"notes":[{"q":1}]}'
+SERVICE = (
+    """concat('{"description":"part } \\\\"', l_partkey, '\\\\" [","code_information":[{"code":"', l_partkey, '","type":"CPT"}],'"""
+    """, '"standard_charges":[{"setting":"', l_linestatus, '","gross_charge":', cast(l_extendedprice as bigint), ',"payers_information":'"""
+    """, '[{"payer_name":"', l_returnflag, '","plan_name":"', l_linenumber, '","estimated_amount":', cast(l_quantity as bigint), '}]}]}')"""
+)
+
+
+def json_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One JSON document per supplier as the scan at closing braces gives it; every line item is a service.
+
+    Braces and brackets stand in its texts as well, and blocks end within services.
+    """
+    order = ["l_orderkey", "l_linenumber", "l_partkey", "l_linestatus", "l_extendedprice", "l_quantity", "l_returnflag"]
+    in_file = Window.partitionBy("l_suppkey")
+    items = table(spark, sf_dir, "lineitem").withColumns(
+        {"place": F.row_number().over(in_file.orderBy(*order)).cast("long"), "n": F.count("*").over(in_file)}
+    )
+    text = F.concat(
+        F.when(F.col("place") == 1, F.lit(JSON_HEAD)).otherwise(F.lit(",")), F.expr(SERVICE),
+        F.when(F.col("place") == F.col("n"), F.lit(JSON_TAIL)).otherwise(F.lit("")),
+    )
+    # The brace that ends a text is what parts it from the next one.
+    pieces = F.split(text, "\\}")
+    parts = items.select("l_suppkey", "place", F.posexplode(F.slice(pieces, F.lit(1), F.size(pieces) - 1)).alias("at", "bytes"))
+    kept = parts.withColumn("file_size_bytes", F.sum(F.octet_length("bytes") + 1).over(in_file))
+    path = F.concat(F.lit("drop/"), "l_suppkey", F.lit(".json")).alias("source_path")
+    cut = kept.select(path, F.expr("(place * 100 + at) div 4003").alias("block"), "place", "at", "bytes", "file_size_bytes")
+    order = Window.partitionBy("source_path", "block").orderBy("place", "at")
+    position = F.col("block") * 100_000 + F.row_number().over(order)
+    return cut.select("source_path", "block", position.alias("position"), "bytes", "file_size_bytes")
+
+
+def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as a file of numbered lines."""
+    texts = table(spark, sf_dir, "documents").filter("text is not null")
+    return texts.select(
+        F.concat(F.lit("doc_"), "doc_id").alias("source_path"), (F.octet_length("text") + 1).alias("file_size_bytes"),
+        F.posexplode(F.split("text", "\n")).alias("line_no", "bytes"),
+    )

@@ -10,6 +10,8 @@ FORMATS = {".csv": "csv", ".json": "json"}
 # Source keys under which a format is stored and may be forced to load again.
 SOURCE_KEYS = {"csv": "pt_csv", "json": "pt_json"}
 BOM = "﻿"
+# A file up to this size is read as one value where its content is needed whole.
+WHOLE_FILE = 256 << 20
 
 
 def base_name(path) -> Column:
@@ -42,14 +44,57 @@ def list_files(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def hashed_files(spark: SparkSession, folder: str, pattern: str = "*.{csv,json}") -> DataFrame:
-    """Files with the SHA-256 of their content, computed where the file is read."""
-    return _binary(spark, folder, pattern).select(
-        F.col("path").alias("source_path"),
-        base_name("path").alias("source_file_name"),
-        F.col("length").alias("file_size_bytes"),
-        format_of("path").alias("source_format"),
-        F.sha2("content", 256).alias("file_hash"),
+def fingerprint(texts: DataFrame) -> DataFrame:
+    """(source_path, file_hash) of numbered lines (source_path, line_no, bytes, file_size_bytes), order included.
+
+    Two sums of 64 bits each over the SHA-256 of a line with its number: parts of a file add up in any order, so no
+    task holds a file.
+    """
+    digest = F.sha2(F.concat(F.col("line_no").cast("string"), F.lit(":"), "bytes"), 256)
+    lanes = [F.conv(F.substring(digest, at, 16), 16, 10).cast("decimal(20,0)") for at in (1, 17)]
+    sums = texts.groupBy("source_path").agg(
+        F.max("file_size_bytes").alias("size"), F.count("*").alias("n"),
+        *[F.sum(lane).cast("decimal(38,0)").cast("string").alias(f"lane{i}") for i, lane in enumerate(lanes)],
+    )
+    return sums.select("source_path", F.sha2(F.concat_ws(":", "size", "n", "lane0", "lane1"), 256).alias("file_hash"))
+
+
+def hashed_files(
+    spark: SparkSession, folder: str, pattern: str = "*.{csv,json}", whole: int = WHOLE_FILE
+) -> DataFrame:
+    """Files with a hash of their content: SHA-256 where a file fits a value, else its lines' fingerprint.
+
+    The size belongs to the content, so equal files are hashed alike. Only files of up to ``whole`` bytes are read
+    as one value.
+    """
+    listed = list_files(spark, folder).filter("source_format is not null")
+    fits = (
+        _binary(spark, folder, pattern)
+        .filter(F.col("length") <= whole)
+        .select(F.col("path").alias("source_path"), F.sha2("content", 256).alias("file_hash"))
+    )
+    large = _binary(spark, folder, pattern).filter(F.col("length") > whole).select("path")
+    if not large.isEmpty():
+        numbered = with_line_numbers(scan(spark, folder, pattern, "\n").filter(F.col("file_size_bytes") > whole))
+        same = F.regexp_replace("source_path", "^file:/+", "file:/").alias("source_path")
+        fits = fits.unionByName(fingerprint(numbered).select(same, "file_hash"))
+    return listed.join(fits, "source_path")
+
+
+def scan(spark: SparkSession, folder: str, pattern: str, separator: str | None = None) -> DataFrame:
+    """Texts of all files between separators (line ends where None), in one scan that splits large files.
+
+    ``block`` and ``position`` order the texts of a file.
+    """
+    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
+    if separator is not None:
+        reader = reader.option("lineSep", separator)
+    return reader.text(folder).select(
+        F.col("_metadata.file_path").alias("source_path"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("position"),
+        F.col("value").alias("bytes"),
+        F.col("_metadata.file_size").alias("file_size_bytes"),
     )
 
 
@@ -58,17 +103,7 @@ def lines(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
 
     ``block`` and ``position`` order the lines of a file.
     """
-    return (
-        spark.read.option("recursiveFileLookup", True)
-        .option("pathGlobFilter", pattern)
-        .text(folder)
-        .select(
-            F.col("_metadata.file_path").alias("source_path"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("position"),
-            F.col("value").alias("bytes"),
-        )
-    )
+    return scan(spark, folder, pattern).drop("file_size_bytes")
 
 
 def encodings(raw: DataFrame) -> DataFrame:

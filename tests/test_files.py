@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ratelens.operators import silver
 from ratelens.plans import lake
-from ratelens.sources import csv_files, csv_records, files, json_files, sinks
+from ratelens.sources import csv_files, csv_records, files, json_elements, json_files, sinks
 
 PREAMBLE_CSV = """Fixture of the ingest tests,,,,,,
 two lines come first,,,,,,
@@ -102,6 +102,26 @@ def test_listing_and_hashes(spark, drop):
     assert hashed["rows.json"] == hashlib.sha256((drop / "rows.json").read_bytes()).hexdigest()
 
 
+def test_hash_of_files_too_large_for_a_value(spark, drop):
+    texts = {"a.csv": "x\ny\nz\n" * 900, "b.csv": "x\ny\nz\n" * 900, "c.csv": "x\nz\ny\n" * 900, "d.csv": "x\ny\nz\n" * 899 + "x\ny\nz"}
+    for name, text in texts.items():
+        (drop / name).write_text(text)
+
+    def hashes():
+        return {r.source_file_name: r.file_hash for r in files.hashed_files(spark, str(drop), whole=2000).collect()}
+
+    once = hashes()
+    assert set(texts) < set(once) and {len(h) for h in once.values()} == {64}
+    assert once["a.csv"] == once["b.csv"] and len({once[n] for n in "a.csv c.csv d.csv".split()}) == 3
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1024")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        assert hashes() == once
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 def test_header_report(spark, drop):
     report = csv_files.header_report(files.lines(spark, str(drop), "*.csv"))
     found = {r.source_path.rsplit("/", 1)[1]: r for r in report.collect()}
@@ -236,6 +256,62 @@ def test_records_over_lines_and_blocks(spark):
             assert got[f"f{k}"] == list(enumerate(plain_records(text, mark))), text
 
 
+def json_value(rng, depth=0):
+    texts = ["", "a } b", "]}", '"', "\\", '\\"}', "é{[", "standard_charge_information", '"k": [{']
+    kind = rng.choice(["text", "text", "number", "null", "object", "array"] if depth < 3 else ["text", "number"])
+    if kind == "object":
+        return {rng.choice("abck") + str(i): json_value(rng, depth + 1) for i in range(rng.randrange(4))}
+    if kind == "array":
+        return [json_value(rng, depth + 1) for _ in range(rng.randrange(4))]
+    return {"text": rng.choice(texts), "number": rng.choice([0, -1.5e-7, 12]), "null": None}[kind]
+
+
+@pytest.mark.parametrize("size", ["700", "134217728"])
+def test_elements_of_documents_over_splits(spark, tmp_path, size):
+    """Objects of an array, by key and at the top, are those of the whole parse; a document spans several tasks."""
+    rng = random.Random(5)
+    documents = {}
+    for i in range(12):
+        array = [{"n": j, "v": json_value(rng)} for j in range(rng.randrange(1, 90))]
+        if i % 4 == 3:
+            array = [x for pair in zip(array, [1, "a } b" if i == 3 else "b]", None] * 30) for x in pair]
+        holder = {"x": json_value(rng), "d": {"k": [{"no": 1}]}, "k": array, "z": json_value(rng)}
+        documents[f"k{i}.json"], documents[f"a{i}.json"] = holder, array
+    for name, value in documents.items():
+        (tmp_path / name).write_text(json.dumps(value, indent=rng.choice([None, 1]), ensure_ascii=False) + rng.choice(["", "\n"]))
+    (tmp_path / "open.json").write_text('[{"a": 1}, {"b": "}')
+    (tmp_path / "more.json").write_text('[{"a": 1}] x')
+    (tmp_path / "none.json").write_text('{"kk": [{"k": [{"a": 1}]}]}')
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        texts = json_elements.chunks(spark, str(tmp_path))
+        if size == "700":
+            assert texts.groupBy("source_path").agg(F.count_distinct("block").alias("n")).filter("n > 2").count() > 2
+        for key, mark in (("k", "k"), (None, "a")):
+            got = {}
+            cut = json_elements.elements(texts, key)
+            for r in cut.orderBy("place").collect():
+                got.setdefault(r.source_path.rsplit("/", 1)[1], []).append(r.element)
+            whole = {r.source_path.rsplit("/", 1)[1]: (r.whole, r.broken) for r in json_elements.outcomes(cut).collect()}
+            for name, value in documents.items():
+                if name[0] != mark:
+                    continue
+                array = value["k"] if key else value
+                if key is None and any(not isinstance(x, dict) for x in array):
+                    assert name not in got or whole[name] == (True, False)
+                elif any(isinstance(x, str) and "}" in x for x in array):
+                    assert whole[name] in ((True, False), (False, False))
+                else:
+                    assert [json.loads(e) for e in got[name]] == [x for x in array if isinstance(x, dict)], name
+                    assert whole[name] == (False, False)
+            assert got["open.json"] == [None] and whole["open.json"] == (False, True)
+            assert "none.json" not in got and got.get("more.json") == (None if key else [None])
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 def test_payload_shapes(spark):
     docs = spark.createDataFrame(
         [("a", "[]"), ("b", "5"), ("c", '[1, {"x": 2}]'), ("d", '[{"x": 1}, {"x": 2}]'), ("e", "{")],
