@@ -480,6 +480,29 @@ def test_secrets(spark, docs, plain):
     assert got == sorted(want, key=repr)
 
 
+def test_every_token_is_a_candidate():
+    """Short, letter-only and sign-bearing tokens and what patterns leave of a token; scores by batch as one by one."""
+    network = secrets.trained(n=900)
+    texts = ["", "a b", "the pwd: Xk9mQ2vT is set", "bob:s3cr3tPw@host", "AbCdEfGhIjKlMnOpQrStUvWx", "x9$Kq!2mZ&7pLw#4 no", "token=abc123~restofsecretABC99",
+             "é" * 7 + "\n" + "abcdefg " * 5000, "x" * 70_000 + " \U0001f600" * 9, "abcdef" + "a0" * 12 + " 123456token=abcdef"]
+    for text in texts:
+        base = secrets.base_spans(text)
+        spans = secrets.candidates(text, base)
+        free = [not any(a <= i < b for a, _, b in base) and c not in " \t\n\r\x0b\x0c" for i, c in enumerate(text)]
+        expected, start = [], None
+        for i, ok in enumerate([*free, False]):
+            if ok and start is None:
+                start = i
+            elif not ok and start is not None:
+                expected += [(start, i)] if i - start >= 6 else []
+                start = None
+        assert spans == expected, text[:40]
+        some = spans[:: max(1, len(spans) // 40)]
+        one = [network.probability(secrets.window(text, a, b)) for a, b in some]
+        batch = dict(zip(spans, network.probabilities(text, spans), strict=True))
+        assert all(abs(batch[s] - p) < 1e-3 for s, p in zip(some, one, strict=True))
+
+
 def test_network_finds_held_out_secrets():
     network = secrets.trained()
     fresh = [(network.probability(secrets.window(t, a, b)) >= network.threshold, y) for t, a, b, y in secrets.labelled_findings(600, seed=99)]
