@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratelens.operators import silver
-from ratelens.schemas import CSV_REGISTRY, EXTRACTED_RATE, JSON_REGISTRY, MANIFEST
+from ratelens.schemas import CSV_REGISTRY, EXTRACTED_RATE, JSON_REGISTRY, MANIFEST, RAW_ROW
 from ratelens.session import configure
-from ratelens.sources import csv_files, files, json_elements, json_files, sinks
+from ratelens.sources import commits, csv_files, files, json_elements, json_files, sinks
 from ratelens.functions.jsonx import items, top_level
 
 
@@ -126,14 +126,31 @@ def _now() -> Column:
     return F.current_timestamp()
 
 
+LANDING = {
+    "pt_csv_raw_tall": RAW_ROW, "pt_csv_raw_wide": RAW_ROW, "pt_json_raw": RAW_ROW,
+    "pt_json_extracted_rates": EXTRACTED_RATE, "pt_csv_registry": CSV_REGISTRY, "pt_json_registry": JSON_REGISTRY,
+}
+REGISTRIES = ("pt_csv_registry", "pt_json_registry")
+
+
+def landed(spark: SparkSession, lake: str, table: str) -> DataFrame:
+    """A landing table or registry as committed runs left it, every file once."""
+    return commits.read(spark, lake, table, LANDING[table], REGISTRIES)
+
+
 def run_landing(
     spark: SparkSession, drop: str, lake: str, run_id: str, max_records: int = 0
 ) -> DataFrame:
-    """Load a drop into the landing tables and registries; returns one outcome row per file."""
+    """Load a drop into the landing tables and registries; returns one outcome row per file.
+
+    All tables of a run become visible together, by its commit. A run that broke off is repeated under any id and
+    loads the same files again; nothing of the broken one is ever read (``landed``).
+    """
     configure(spark)
-    work = f"{lake}/_work/landing"
-    csv_registry = sinks.read_or_empty(spark, f"{lake}/pt_csv_registry", CSV_REGISTRY)
-    json_registry = sinks.read_or_empty(spark, f"{lake}/pt_json_registry", JSON_REGISTRY)
+    attempt = commits.new_attempt()
+    work = f"{lake}/_work/landing/{attempt}"
+    csv_registry = landed(spark, lake, "pt_csv_registry")
+    json_registry = landed(spark, lake, "pt_json_registry")
     listed = _written(files.list_files(spark, drop), f"{work}/listed")
     done = csv_registry.select("source_file_name", "status").unionByName(
         json_registry.select("source_file_name", "status")
@@ -142,21 +159,21 @@ def run_landing(
 
     raw = _only(files.lines(spark, drop, "*.csv"), todo)
     profile = _written(csv_files.landing_profile(raw), f"{work}/csv_profile")
-    landed = _written(
+    csv_loaded = _written(
         csv_files.landing_rows(raw, profile).withColumn("ingested_at", _now()),
         f"{work}/csv_rows",
     )
     for hint, table in (("TALL", "pt_csv_raw_tall"), ("WIDE", "pt_csv_raw_wide")):
-        rows = landed.filter(F.col("format_hint") == hint)
-        sinks.append(rows.select("source_file_name", "ingested_at", "raw"), f"{lake}/{table}")
-    csv_rows = csv_files.registry_rows(profile, landed, run_id, _now())
-    sinks.append(csv_rows.select(*CSV_REGISTRY.fieldNames()), f"{lake}/pt_csv_registry")
+        rows = csv_loaded.filter(F.col("format_hint") == hint)
+        commits.write(rows.select(*RAW_ROW.fieldNames()), lake, table, attempt)
+    csv_rows = csv_files.registry_rows(profile, csv_loaded, run_id, _now())
+    commits.write(csv_rows.select(*CSV_REGISTRY.fieldNames()), lake, "pt_csv_registry", attempt)
 
     raw_json = _only(files.lines(spark, drop, "*.json"), todo)
     shapes = _written(json_files.line_shapes(raw_json), f"{work}/json_shapes")
     single = _only(todo, shapes.filter("not is_ndjson"))
     docs = json_files.documents(spark, _paths(single.filter(F.col("file_size_bytes") <= files.WHOLE_FILE)))
-    sinks.append(json_files.landing_documents(docs, _now()), f"{lake}/pt_json_raw")
+    commits.write(json_files.landing_documents(docs, _now()), lake, "pt_json_raw", attempt)
     meta = {
         "source_file_name": files.base_name("source_path"),
         "run_id": F.lit(run_id),
@@ -180,8 +197,8 @@ def run_landing(
         json_files.extract_records(records, json_files.LINE_PATH)
     )
     extracted = _written(json_files.capped(extracted, max_records), f"{work}/extracted")
-    sinks.append(
-        extracted.select(*EXTRACTED_RATE.fieldNames()), f"{lake}/pt_json_extracted_rates"
+    commits.write(
+        extracted.select(*EXTRACTED_RATE.fieldNames()), lake, "pt_json_extracted_rates", attempt
     )
     json_files_done = todo.filter("source_format = 'json'")
     hashes = files.hashed_files(spark, drop, "*.json").select("source_path", "file_hash")
@@ -203,12 +220,12 @@ def run_landing(
             F.when(~good, "no rows extracted").alias("error_message"),
         )
     )
-    sinks.append(json_rows.select(*JSON_REGISTRY.fieldNames()), f"{lake}/pt_json_registry")
+    commits.write(json_rows.select(*JSON_REGISTRY.fieldNames()), lake, "pt_json_registry", attempt)
+    commits.commit(spark, lake, attempt, run_id)
 
     outcome = ["source_file_name", "status", "rows_loaded", "error_message"]
     registered = [
-        spark.read.parquet(f"{lake}/{name}").filter(F.col("run_id") == run_id).select(*outcome)
-        for name in ("pt_csv_registry", "pt_json_registry")
+        spark.read.parquet(f"{lake}/{name}/attempt={attempt}").select(*outcome) for name in REGISTRIES
     ]
     unknown = todo.filter("source_format is null").select(
         "source_file_name", F.lit("failed").alias("status"),

@@ -54,6 +54,13 @@ EXTRACTED_RATE = T.StructType(
         T.StructField("raw_rate", T.StringType()),
     ]
 )
+RAW_ROW = T.StructType(
+    [
+        T.StructField("source_file_name", T.StringType(), False),
+        T.StructField("ingested_at", T.TimestampType(), False),
+        T.StructField("raw", T.StringType()),
+    ]
+)
 CSV_REGISTRY = T.StructType(
     [
         T.StructField("source_file_name", T.StringType(), False),

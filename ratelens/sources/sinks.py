@@ -7,17 +7,21 @@ from pyspark.sql.utils import AnalysisException
 
 from ratelens.operators.facts import standard_charges
 from ratelens.operators.staging import newest_per_key
+from ratelens.schemas import MANIFEST
 
 EXPORTED = ("dim_hospital", "dim_procedure", "dim_payer", "fct_standard_charges_semantic")
 CLUSTERED_BY = ("hospital_id", "billing_code", "payer_name")
 
 
 def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a table was written; anything but a missing path or an empty folder is raised."""
     try:
         spark.read.parquet(path)
         return True
-    except AnalysisException:
-        return False
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -46,8 +50,15 @@ def overwrite_day(df: DataFrame, path: str, column: str, day: str) -> None:
 
 
 def read_bronze(spark: SparkSession, lake: str, ingest_date: str) -> DataFrame | None:
-    """Bronze rows of one day from both source kinds by column name; None when there are none."""
+    """Bronze rows of one day from both source kinds by column name; None when there are none.
+
+    Only files that the manifest calls loaded that day count: rows of a run that broke off before its manifest are
+    not read, under whatever day it is repeated.
+    """
     frames = []
+    done = read_or_empty(spark, f"{lake}/manifest", MANIFEST).filter(
+        (F.col("status") == "SUCCESS") & (F.col("ingest_date").cast("string") == ingest_date)
+    )
     for folder, system in (("pt_csv", "csv_tall"), ("pt_json", "json")):
         path = f"{lake}/bronze/{folder}"
         if exists(spark, path):
@@ -57,6 +68,7 @@ def read_bronze(spark: SparkSession, lake: str, ingest_date: str) -> DataFrame |
                 .withColumn("ingest_date", F.col("ingest_date").cast("string"))
                 .filter(F.col("ingest_date") == ingest_date)
             )
+            rows = rows.join(done.select("file_hash"), "file_hash", "left_semi")
             frames.append(rows.withColumn("_source_system", F.lit(system)))
     if not frames:
         return None

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ratelens.operators import silver
 from ratelens.plans import lake
-from ratelens.sources import csv_files, csv_records, files, json_elements, json_files, sinks
+from ratelens.sources import commits, csv_files, csv_records, files, json_elements, json_files, sinks
 
 PREAMBLE_CSV = """Fixture of the ingest tests,,,,,,
 two lines come first,,,,,,
@@ -382,18 +382,18 @@ def test_landing(spark, tmp_path):
         "services.json": ("success", 2), "lines.json": ("success", 2), "empty.json": ("failed", 0),
         "notes.txt": ("failed", 0),
     }
-    registry = {r.source_file_name: r for r in spark.read.parquet(f"{target}/pt_csv_registry").collect()}
+    registry = {r.source_file_name: r for r in lake.landed(spark, target, "pt_csv_registry").collect()}
     assert (registry["tall.csv"].format_hint, registry["tall.csv"].header_count) == ("TALL", 37)
     assert (registry["wide.csv"].format_hint, registry["wide.csv"].delimiter) == ("WIDE", "|")
     assert registry["latin.csv"].encoding == "latin-1"
     kv = json.loads(registry["latin.csv"].preamble_kv)
     assert kv == {"hospital_name": "Génér", "state": "MO", "license": "1", "version": "2.0"}
-    tall = spark.read.parquet(f"{target}/pt_csv_raw_tall").filter("source_file_name = 'tall.csv'")
+    tall = lake.landed(spark, target, "pt_csv_raw_tall").filter("source_file_name = 'tall.csv'")
     raws = sorted((json.loads(r.raw) for r in tall.collect()), key=lambda o: o["_meta_row_number"])
     assert [o["_meta_row_number"] for o in raws] == [4, 5]
     assert raws[0]["description"] == 'A, "quoted" b' and raws[0]["code"] == "85025"
     assert raws[0]["_meta_header_column_count"] == 37
-    rates = spark.read.parquet(f"{target}/pt_json_extracted_rates")
+    rates = lake.landed(spark, target, "pt_json_extracted_rates")
     got = {(r.billing_code, r.payer, r.billing_class, r.rate_type, r.record_path,
             None if r.negotiated_rate is None else float(r.negotiated_rate)) for r in rates.collect()}
     assert got == {
@@ -408,6 +408,76 @@ def test_landing(spark, tmp_path):
     assert {r.source_file_name for r in again} == {"empty.json", "notes.txt"}
 
 
+def test_landing_survives_crashes(spark, tmp_path, monkeypatch):
+    """A run that breaks off between its writes or before its commit leaves nothing to read; the next one loads every row once."""
+    root = tmp_path / "drop"
+    root.mkdir()
+    (root / "tall.csv").write_text(landing_csv(8))
+    (root / "lines.json").write_text('{"code": "1", "rate": "2"}\n{"code": "2", "rate": "3"}\n')
+    target, write, done = str(tmp_path / "lake"), commits.write, commits.commit
+
+    class Crash(Exception):
+        pass
+
+    def crash(*_):
+        raise Crash
+
+    for survived in (1, 5):  # the tall rows are there; all but the JSON registry is there
+        left = [survived]
+
+        def counted(*args):
+            if not left[0]:
+                raise Crash
+            left[0] -= 1
+            write(*args)
+
+        monkeypatch.setattr(commits, "write", counted)
+        with pytest.raises(Crash):
+            lake.run_landing(spark, str(root), target, "run-1")
+    monkeypatch.setattr(commits, "write", write)
+    monkeypatch.setattr(commits, "commit", crash)
+    with pytest.raises(Crash):
+        lake.run_landing(spark, str(root), target, "run-1")
+    monkeypatch.setattr(commits, "commit", done)
+    counts = {"pt_csv_raw_tall": 2, "pt_csv_raw_wide": 0, "pt_json_raw": 0, "pt_json_extracted_rates": 2,
+              "pt_csv_registry": 1, "pt_json_registry": 1}
+    assert all(lake.landed(spark, target, table).isEmpty() for table in counts)
+    first = lake.run_landing(spark, str(root), target, "run-1").collect()
+    assert sorted((r.source_file_name, r.rows_loaded) for r in first) == [("lines.json", 2), ("tall.csv", 2)]
+    assert {t: lake.landed(spark, target, t).count() for t in counts} == counts
+    assert lake.run_landing(spark, str(root), target, "run-1").isEmpty()
+    assert {t: lake.landed(spark, target, t).count() for t in counts} == counts
+
+
+def test_newest_committed_attempt_counts(spark):
+    owners = spark.createDataFrame(
+        [("f", "a1"), ("f", "a2"), ("f", "a3"), ("g", "a1"), ("h", "a3"), ("i", "a2"), ("i", "a4")],
+        "source_file_name string, attempt string")
+    done = spark.createDataFrame([("a1", "r", 1), ("a2", "r", 2), ("a4", "r", 2)], "attempt string, run_id string, t int")
+    done = done.select("attempt", "run_id", F.timestamp_seconds("t").alias("committed_at"))
+    got = {(r.source_file_name, r.attempt) for r in commits.newest_attempts(owners, done).collect()}
+    assert got == {("f", "a2"), ("g", "a1"), ("i", "a4")}
+
+
+def test_bronze_of_a_broken_run_is_not_read(spark, tmp_path, monkeypatch):
+    root = tmp_path / "drop"
+    root.mkdir()
+    (root / "a.csv").write_text("billing_code,description,gross_charge\n85025,Blood,5\n")
+    target, append = str(tmp_path / "lake"), sinks.append
+
+    def crash(*_):
+        raise RuntimeError("crash")
+
+    monkeypatch.setattr(sinks, "append", crash)
+    with pytest.raises(RuntimeError):
+        lake.run_bronze(spark, str(root), target, "2024-01-01")
+    monkeypatch.setattr(sinks, "append", append)
+    assert sinks.read_bronze(spark, target, "2024-01-01").isEmpty()
+    lake.run_bronze(spark, str(root), target, "2024-01-02")
+    assert sinks.read_bronze(spark, target, "2024-01-01").isEmpty()
+    assert sinks.read_bronze(spark, target, "2024-01-02").count() == 1
+
+
 def test_preamble_in_pairs(spark):
     row = spark.createDataFrame([(["a", "1", "b", "2", " "], ["x"])], "r1 array<string>, r2 array<string>")
     assert row.select(csv_files.preamble_map(F.col("r1"), F.col("r2"))).first()[0] == {"a": "1", "b": "2"}
