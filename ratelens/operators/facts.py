@@ -32,11 +32,20 @@ def standard_charges(base: DataFrame, hospitals: DataFrame) -> DataFrame:
     )
 
 
+def newer_charges(base: DataFrame, newest, hospitals: DataFrame) -> DataFrame:
+    """Charges of the base loaded after ``newest`` (all of them where it is None), each key once.
+
+    The base may hold a key several times (``keyed_union``): as ``newest`` is a literal, older rows are left out in
+    the scan, before the one dedupe.
+    """
+    fresh = base if newest is None else base.filter(F.col("ingested_at") > F.lit(newest))
+    return standard_charges(newest_per_key(fresh), hospitals)
+
+
 def merge_charges(target: DataFrame, base: DataFrame, hospitals: DataFrame) -> DataFrame:
     """Charges after an incremental load: base rows newer than the target replace or join it."""
-    newest = target.agg(F.max("ingested_at")).scalar()
-    fresh = base.filter(newest.isNull() | (F.col("ingested_at") > newest))
-    fresh = standard_charges(newest_per_key(fresh), hospitals)
+    newest = target.agg(F.max("ingested_at")).first()[0]  # one value
+    fresh = newer_charges(base, newest, hospitals)
     kept = target.join(fresh.select("standard_charge_sk"), "standard_charge_sk", "left_anti")
     return kept.unionByName(fresh)
 

@@ -1,8 +1,12 @@
-"""Checks on built tables.  Each returns the rows that violate it, so an empty frame passes."""
+"""Checks on built tables.  Each returns the rows that violate it, so an empty frame passes.
+
+``check_run`` runs any number of them over one scan of a table and returns how many violations each has.
+"""
 
 from functools import reduce
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratelens.functions.codes import HARD_FORMATS, code_issue, code_type_norm, validation_code
@@ -68,6 +72,70 @@ def unknown_share(procedures: DataFrame, threshold: float = 0.95) -> DataFrame:
     )
 
 
+class Reference(NamedTuple):
+    """``column`` must be NULL or a value of ``key`` in ``parent``."""
+
+    column: str
+    parent: DataFrame
+    key: str
+
+
+def no_nulls(*columns: str) -> dict[str, Column]:
+    """Row checks for ``check_run``: the columns hold no NULL."""
+    return {f"not_null {c}": F.col(c).isNull() for c in columns}
+
+
+def only_values(column: str, values) -> dict[str, Column]:
+    """Row check for ``check_run``: the column is NULL or one of the values."""
+    return {f"accepted_values {column}": F.col(column).isNotNull() & ~F.col(column).isin(*values)}
+
+
+def check_run(df: DataFrame, table: str, rows: dict[str, Column], unique=(), references=()) -> DataFrame:
+    """(table_name, check_name, violations): one row per check, over one scan of the table.
+
+    ``rows`` maps a check to the condition of a violating row. Of a ``unique`` column the values held more than once
+    count. References count rows without a parent; each parent's distinct keys meet the rows in a join. A table
+    without rows violates ``not_empty``. Values of unique columns are counted beside the row checks: a row goes into
+    one aggregation once, and once more for each unique column after the first.
+    """
+    checks = dict(rows)
+    for i, (column, parent, key) in enumerate(references):
+        keys = parent.select(F.col(key).alias(column)).filter(F.col(column).isNotNull()).distinct()
+        df = df.join(keys.withColumn(f"_known{i}", F.lit(True)), column, "left")
+        checks[f"relationships {column}"] = F.col(column).isNotNull() & F.col(f"_known{i}").isNull()
+    flags = {f"_c{i}": F.coalesce(condition, F.lit(False)).cast("long") for i, condition in enumerate(checks.values())}
+    kept = {f"_u{i}": F.col(c).cast("string") for i, c in enumerate(unique)}
+    narrow = df.select(*[c.alias(n) for n, c in {**flags, **kept}.items()])
+    sums = [F.sum(n).alias(n) for n in flags]
+    if unique:
+        entries = [
+            F.struct(F.lit(i).alias("_at"), F.col(f"_u{i}").alias("_value"), *[
+                (F.col(n) if i == 0 else F.lit(0).cast("long")).alias(n) for n in flags
+            ]) for i in range(len(unique))
+        ]
+        by_value = (
+            narrow.select(F.inline(F.array(*entries))).groupBy("_at", "_value")
+            .agg(F.count("*").alias("_n"), *sums)
+        )
+        counted = by_value.agg(
+            F.sum(F.when(F.col("_at") == 0, F.col("_n"))).alias("_rows"), *sums,
+            *[F.count_if((F.col("_at") == i) & F.col("_value").isNotNull() & (F.col("_n") > 1)).alias(f"_u{i}")
+              for i in range(len(unique))],
+        )
+    else:
+        counted = narrow.agg(F.count("*").alias("_rows"), *sums)
+    names = {
+        "not_empty": F.when(F.coalesce("_rows", F.lit(0)) == 0, 1).otherwise(0),
+        **{name: F.col(n) for name, n in zip(checks, flags)},
+        **{f"unique {c}": F.col(f"_u{i}") for i, c in enumerate(unique)},
+    }
+    found = F.array(*[
+        F.struct(F.lit(name).alias("check_name"), F.coalesce(n.cast("long"), F.lit(0).cast("long")).alias("violations"))
+        for name, n in names.items()
+    ])
+    return counted.select(F.lit(table).alias("table_name"), F.inline(found))
+
+
 def numeric_prefixes(hospitals: DataFrame) -> DataFrame:
     """Hospitals whose cleaned name still starts with a facility id."""
     return hospitals.filter(F.trim("hospital_name_clean").rlike(r"^\d{1,3}\s+\d{5,}")).select(

@@ -171,12 +171,17 @@ def newest_per_key(charges: DataFrame) -> DataFrame:
     )
 
 
-def charge_base(*staged: DataFrame) -> DataFrame:
-    """Union of staged sources, keyed and deduplicated."""
+def keyed_union(*staged: DataFrame) -> DataFrame:
+    """Union of staged sources with their keys; a key may come several times."""
     union = staged[0]
     for other in staged[1:]:
         union = union.unionByName(other)
-    return newest_per_key(with_charge_key(union))
+    return with_charge_key(union)
+
+
+def charge_base(*staged: DataFrame) -> DataFrame:
+    """Union of staged sources, keyed and deduplicated."""
+    return newest_per_key(keyed_union(*staged))
 
 
 def lake_base(silver: DataFrame) -> DataFrame:

@@ -97,6 +97,22 @@ def unaccepted(table, column, values):
  where {column} not in ({values}) group by 1"""
 
 
+DELIVERED = "'negotiated_dollar', 'gross_charge', 'discounted_cash_price'"
+REGISTERED = """select source_file_name from csv_registry where status = 'success'
+ union all select source_file_name from json_registry where status = 'success'"""
+
+
+def tally(table, name, checks, unique=()):
+    """Violations per check, every check a count of its own."""
+    parts = [f"select '{name}' as table_name, 'not_empty' as check_name, (count(*) = 0)::bigint as violations from {table}"]
+    parts += [f"select '{name}', '{check}', count(*) from {table} where {bad}" for check, bad in checks.items()]
+    parts += [
+        f"select '{name}', 'unique {c}', count(*) from (select {c} from {table} where {c} is not null group by 1"
+        " having count(*) > 1)" for c in unique
+    ]
+    return " union all ".join(parts)
+
+
 SELECTS = {
     "m01_dim_hospital": "select * from dim_hospital",
     "m03_dim_payer": "select * from dim_payer",
@@ -557,7 +573,7 @@ SELECTS = {
  cast(count(distinct rate_unit) as integer) as rate_unit_values from comparable group by 1, 2
  having count(distinct rate_category) > 1 or count(distinct rate_unit) > 1""",
     # Ingest operators.
-    "i01_content_hash": "select source_file_name, file_hash from files",
+    "i01_file_hash": "select source_file_name, file_hash from files",
     "i02_not_loaded": """select source_file_name, file_hash from files
  where file_hash not in (select file_hash from files where doc_id % 3 = 0)""",
     "i03_forced": """select source_file_name, file_hash from files where source_format = 'csv'
@@ -630,6 +646,73 @@ SELECTS = {
  ',' as delimiter, 'TALL' as format_hint, 5::bigint as header_count,
  '{"hospital_name":"Fixture","state":"NY","license":"17","last_updated":"2024-01-01","version":"2.0"}' as preamble
  from lineitem""",
+    # Checks over delivered rows, landing tables and files.
+    "q00_check_run": tally("semantic", "semantic", {
+        **{f"not_null {c}": f"{c} is null" for c in (
+            "semantic_charge_sk", "hospital_id", "billing_code", "payer_name", "plan_name", "description")},
+        "accepted_values rate_category":
+            "rate_category not in ('negotiated', 'gross', 'cash', 'min', 'max', 'percentage', 'other')",
+        "no_other rate_category": "rate_category = 'other'",
+        "relationships hospital_id": "hospital_id not in (select hospital_id from dim_hospital)",
+    }, ("semantic_charge_sk",)) + " union all " + tally("dim_procedure", "procedures", {
+        "not_null billing_code": "billing_code is null",
+        "accepted_values billing_code_type": f"billing_code_type not in ({KNOWN})",
+    }),
+    "q00_check_run_delivered": tally("charges", "charges", {
+        **{f"not_null {c}": f"{c} is null" for c in (
+            "billing_code", "billing_code_type", "description", "payer_name", "plan_name", "rate_amount")},
+        "accepted_values rate_type": f"rate_type not in ({DELIVERED})",
+        "accepted_values billing_code_type": f"billing_code_type not in ({KNOWN})",
+        "relationships source_file_name": f"source_file_name not in ({REGISTERED})",
+    }, ("run_id", "raw_rate_json")),
+    "q01_not_null_delivered": null_rows("charges", (
+        "billing_code", "billing_code_type", "description", "payer_name", "hospital_id")),
+    "q02_unique_run": repeated("charges", "run_id"),
+    "q03_accepted_rate_types": unaccepted("charges", "rate_type", DELIVERED),
+    "q04_file_relationship": f"""select distinct source_file_name as value from charges
+ where source_file_name not in ({REGISTERED})""",
+    "q05_empty_class": """select 'classified_charges' as empty_table
+ where not exists (select 1 from charges where billing_class is not null)""",
+    "q08_stated_prefixes": r"""select run_id as hospital_id, n as hospital_name, n as hospital_name_clean,
+ source_file_name from (select *, json_extract_string(preamble_kv, '$.hospital_name') as n from csv_registry)
+ where regexp_matches(trim(n), '^\d{1,3}\s+\d{5,}')""",
+    "q09_invalid_delivered": f"""select billing_code, billing_code_type, 'charges' as agg_name from (
+ select distinct billing_code, billing_code_type from charges)
+ where ({issue('billing_code', 'billing_code_type')}) is not null""",
+    "q10_other_semantic": "select * from semantic where lower(trim(rate_category)) = 'other'",
+    "q11_wide_counts": """select 'pt_csv_raw_wide' as table_name, source_file_name,
+ count(*) as row_count, min(ingested_at) as first_ingested, max(ingested_at) as last_ingested
+ from landing_wide group by 1, 2""",
+    "q11_document_counts": """select 'pt_json_raw' as table_name, source_file_name,
+ count(*) as row_count, min(ingested_at) as first_ingested, max(ingested_at) as last_ingested
+ from (select distinct source_file_name, ingested_at, run_id from landing_json) group by 1, 2""",
+    "q14_json_rows_wide": "select count(*) filter (json_valid(raw)) as json_typed_rows from landing_wide",
+    "m09_returning_keys": """select b.* exclude (hospital_id, back) replace (
+ case when back then 'delivered again' else description end as description,
+ case when back then ingested_at + interval 3650 days else ingested_at end as ingested_at), d.hospital_id
+ from (select *, coalesce(ingested_at < '1997-01-01' and rate_type = 'gross_charge', false) as back from base) b
+ left join dim_hospital d using (source_file_name)""",
+    "i04_manifest": """select source_file_name as source_path, coalesce(file_hash, '') as file_hash,
+ case when doc_id % 5 = 0 then 'FAILED' else 'SUCCESS' end as status, '2024-01-01' as ingest_date,
+ case when doc_id % 5 = 0 then 'invalid JSON' else '' end as error_message from files""",
+    "i05_run_summary": """select count(*) filter (doc_id % 5 <> 0) as ingested, 0::bigint as skipped,
+ count(*) filter (doc_id % 5 = 0) as failed from files""",
+    "i06_encodings": """select 'doc_' || doc_id as source_path,
+ case when doc_id % 3 = 0 then 'latin-1' else 'utf-8' end as encoding,
+ case when doc_id % 3 = 0 then strlen(replace(text, chr(10), '')) + 1
+ else length(replace(text, chr(10), '')) end as n_chars from documents where text is not null""",
+    "i07_line_shapes": """select source_path, count(*) filter (line <> '') as lines,
+ count(*) filter (line like '{%' and json_valid(line)) as objects, count(*) filter (line <> '') >= 2
+ and count(*) filter (line <> '') = count(*) filter (line like '{%' and json_valid(line)) as is_ndjson from (
+ select 'doc_' || doc_id as source_path, trim(unnest(string_split(text, chr(10)))) as line from documents
+ where text is not null
+ union all select 'events_' || event_id % 50, trim(props) from events) group by 1""",
+    "i21_capped": """select source_file_name, raw from landing_tall
+ order by md5(source_file_name || raw) limit 1000""",
+    "i26_routing": """select l_suppkey || '.csv' as source_file_name, 'run' as run_id, 'TALL' as format_hint,
+ ',' as delimiter, case when l_suppkey % 5 = 0 then 0 else count(*) end as rows_loaded,
+ case when l_suppkey % 5 = 0 then 'failed' else 'success' end as status,
+ case when l_suppkey % 5 = 0 then 'no rows loaded' end as error_message from lineitem group by l_suppkey""",
 }
 
 EXTRA = {**LAKE, "files": """select 'doc_' || doc_id as source_file_name,

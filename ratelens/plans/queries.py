@@ -586,7 +586,7 @@ def _loaded_before(spark, sf_dir):
     )
 
 
-@query("i01_content_hash")
+@query("i01_file_hash")
 def _(m, spark, sf_dir):
     return _documents_as_files(spark, sf_dir).select("source_file_name", "file_hash")
 
@@ -717,3 +717,164 @@ def _(m, spark, sf_dir):
 def _(m, spark, sf_dir):
     """Fingerprint of every document from its lines, as for files too large for one value."""
     return files.fingerprint(testdata.document_lines(spark, sf_dir))
+
+
+# Checks over rows as they were delivered, where each finds something.
+mart("q00_check_run", lambda m: quality.check_run(
+    m.fct_standard_charges_semantic, "semantic",
+    {**quality.no_nulls("semantic_charge_sk", "hospital_id", "billing_code", "payer_name", "plan_name", "description"),
+     **quality.only_values("rate_category", RATE_CATEGORIES),
+     "no_other rate_category": F.col("rate_category") == "other"},
+    unique=["semantic_charge_sk"],
+    references=[quality.Reference("hospital_id", m.dim_hospital, "hospital_id")],
+).unionByName(quality.check_run(
+    m.dim_procedure, "procedures",
+    {**quality.no_nulls("billing_code"), **quality.only_values("billing_code_type", KNOWN_CODE_TYPES)},
+)))
+
+DELIVERED_TYPES = ("negotiated_dollar", "gross_charge", "discounted_cash_price")
+
+
+def registered_names(m):
+    return m.csv_registry.select("source_file_name", "status").unionByName(
+        m.json_registry.select("source_file_name", "status")
+    ).filter("status = 'success'")
+
+
+@query("q00_check_run_delivered")
+def _(m, spark, sf_dir):
+    return quality.check_run(
+        source(spark, sf_dir, "charges"), "charges",
+        {**quality.no_nulls("billing_code", "billing_code_type", "description", "payer_name", "plan_name", "rate_amount"),
+         **quality.only_values("rate_type", DELIVERED_TYPES), **quality.only_values("billing_code_type", KNOWN_CODE_TYPES)},
+        unique=["run_id", "raw_rate_json"],
+        references=[quality.Reference("source_file_name", registered_names(m), "source_file_name")],
+    )
+
+
+@query("q01_not_null_delivered")
+def _(m, spark, sf_dir):
+    return quality.not_null(
+        source(spark, sf_dir, "charges"), "billing_code", "billing_code_type", "description", "payer_name", "hospital_id")
+
+
+@query("q02_unique_run")
+def _(m, spark, sf_dir):
+    return quality.unique(source(spark, sf_dir, "charges"), "run_id")
+
+
+@query("q03_accepted_rate_types")
+def _(m, spark, sf_dir):
+    return quality.accepted_values(source(spark, sf_dir, "charges"), "rate_type", DELIVERED_TYPES)
+
+
+@query("q04_file_relationship")
+def _(m, spark, sf_dir):
+    return quality.relationships(
+        source(spark, sf_dir, "charges"), "source_file_name", registered_names(m), "source_file_name")
+
+
+@query("q05_empty_class")
+def _(m, spark, sf_dir):
+    charges = source(spark, sf_dir, "charges")
+    return quality.not_empty(charges.filter("billing_class is not null"), "classified_charges")
+
+
+@query("q08_stated_prefixes")
+def _(m, spark, sf_dir):
+    stated = m.csv_registry.withColumn("hospital_name", F.get_json_object("preamble_kv", "$.hospital_name"))
+    return quality.numeric_prefixes(stated.select(
+        F.col("run_id").alias("hospital_id"), "hospital_name", F.col("hospital_name").alias("hospital_name_clean"),
+        "source_file_name"))
+
+
+@query("q09_invalid_delivered")
+def _(m, spark, sf_dir):
+    distinct = source(spark, sf_dir, "charges").select("billing_code", "billing_code_type").distinct()
+    return quality.invalid_codes(charges=distinct)
+
+
+mart("q10_other_semantic", lambda m: quality.other_category(m.fct_standard_charges_semantic))
+
+
+@query("q11_wide_counts")
+def _(m, spark, sf_dir):
+    return quality.landing_counts(source(spark, sf_dir, "landing_wide"), "pt_csv_raw_wide")
+
+
+@query("q11_document_counts")
+def _(m, spark, sf_dir):
+    """Raw JSON documents per file, one per order here."""
+    documents = source(spark, sf_dir, "landing_json").select("source_file_name", "ingested_at", "run_id").distinct()
+    return quality.landing_counts(documents, "pt_json_raw")
+
+
+@query("q14_json_rows_wide")
+def _(m, spark, sf_dir):
+    return quality.json_rows(source(spark, sf_dir, "landing_wide"))
+
+
+@query("m09_returning_keys")
+def _(m, spark, sf_dir):
+    """Keys of the target that come back on other days with other values, next to new keys and old rows."""
+    loaded = m.fct_standard_charges.filter(F.col("ingested_at") < F.lit("1997-01-01"))
+    returns = (F.col("ingested_at") < F.lit("1997-01-01")) & (F.col("rate_type") == "gross_charge")
+    again = m.base.withColumns({
+        "description": F.when(returns, "delivered again").otherwise(F.col("description")),
+        "ingested_at": F.when(returns, F.expr("ingested_at + interval 3650 days")).otherwise(F.col("ingested_at")),
+    })
+    return facts.merge_charges(loaded, again, m.hospital_lookup)
+
+
+def _outcomes(spark, sf_dir):
+    """Documents in the role of processed files; those with a doc_id divisible by 5 failed."""
+    return _documents_as_files(spark, sf_dir).select(
+        F.col("source_file_name").alias("source_path"), "file_hash",
+        F.when(F.col("doc_id") % 5 == 0, "invalid JSON").alias("error_message"),
+    )
+
+
+@query("i04_manifest")
+def _(m, spark, sf_dir):
+    return files.manifest_rows(_outcomes(spark, sf_dir), "2024-01-01").drop("updated_at")
+
+
+@query("i05_run_summary")
+def _(m, spark, sf_dir):
+    failed = F.col("error_message").isNotNull()
+    return files.run_summary(_outcomes(spark, sf_dir).select(F.when(failed, "failed").otherwise("ingested").alias("outcome")))
+
+
+@query("i06_encodings")
+def _(m, spark, sf_dir):
+    """Every third document gets a byte that is not UTF-8; encoding and length of each as text."""
+    latin = F.expr("cast(substring(source_path, 5) as bigint) % 3 = 0 and line_no = 0")
+    raw = testdata.document_lines(spark, sf_dir).withColumn(
+        "bytes", F.when(latin, F.concat(F.expr("cast(X'E9' as string)"), "bytes")).otherwise(F.col("bytes")))
+    known = raw.join(files.encodings(raw), "source_path")
+    return known.groupBy("source_path", "encoding").agg(F.sum(F.length(files.decoded())).alias("n_chars"))
+
+
+@query("i07_line_shapes")
+def _(m, spark, sf_dir):
+    """NDJSON or not: every document, and the event properties as 50 files."""
+    props = testdata.table(spark, sf_dir, "events").select(
+        F.expr("concat('events_', event_id % 50)").alias("source_path"), F.col("props").alias("bytes"))
+    return json_files.line_shapes(testdata.document_lines(spark, sf_dir).select("source_path", "bytes").unionByName(props))
+
+
+@query("i21_capped")
+def _(m, spark, sf_dir):
+    """The first thousand landing rows by hash."""
+    rows = source(spark, sf_dir, "landing_tall").select("source_file_name", "raw")
+    return json_files.capped(rows, 1000, F.md5(F.concat("source_file_name", "raw")))
+
+
+@query("i26_routing")
+def _(m, spark, sf_dir):
+    """Registry rows of CSV files; of files with a number divisible by 5 no row was loaded."""
+    raw = testdata.csv_lines(spark, sf_dir)
+    profile = csv_files.landing_profile(raw)
+    loaded = csv_files.landing_rows(raw, profile).filter("cast(split(source_file_name, '[.]')[0] as int) % 5 <> 0")
+    rows = csv_files.registry_rows(profile, loaded, "run", F.current_timestamp())
+    return rows.select("source_file_name", "run_id", "format_hint", "delimiter", "rows_loaded", "status", "error_message")

@@ -3,7 +3,7 @@
 import re
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -242,9 +242,37 @@ def extract_services(services: DataFrame, service: str = "service") -> DataFrame
     ).select(*EXTRACTED_RATE.fieldNames())
 
 
-def capped(rows: DataFrame, max_records: int = 0) -> DataFrame:
-    """At most ``max_records`` rows; 0 means all."""
-    return rows.limit(max_records) if max_records > 0 else rows
+# Rows of one key that a task makes from one array.
+COPIES = 1 << 16
+
+
+def capped(rows: DataFrame, max_records: int = 0, key: Column | None = None) -> DataFrame:
+    """At most ``max_records`` rows; 0 means all. The same rows each time, however they are partitioned.
+
+    The first rows by ``key`` stay: a hexadecimal hash that only equal rows share, by default of the whole row. Rows
+    are counted by the first five digits (2^20 counts at most meet in one task); whole classes stay without a
+    shuffle, and only the class the cap falls into is ordered, one row per key, so repeated rows are no burden.
+    """
+    if max_records <= 0:
+        return rows
+    columns = rows.columns
+    whole = F.md5(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}))
+    keyed = rows.withColumn("_key", whole if key is None else key).withColumn("_class", F.substring("_key", 1, 5))
+    counts = keyed.groupBy("_class").agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_class")) - F.col("_n")
+    room = counts.withColumn("_room", max_records - before).filter("_room > 0")
+    inside = keyed.join(room.filter("_n <= _room").select("_class"), "_class", "left_semi")
+    edge = keyed.join(room.filter("_n > _room").select("_class", "_room"), "_class")
+    by_key = edge.groupBy("_key", "_room").agg(
+        F.count("*").alias("_n"), F.any_value(F.struct(*columns)).alias("_row")
+    )
+    copies = F.least("_n", F.col("_room") - F.sum("_n").over(Window.orderBy("_key")) + F.col("_n"))
+    blocks = by_key.withColumn("_copies", copies).filter("_copies > 0").select(
+        "_row", "_copies", F.explode(F.expr(f"sequence(0, (_copies - 1) div {COPIES})")).alias("_block")
+    )
+    size = F.least(F.lit(COPIES), F.col("_copies") - F.col("_block") * COPIES).cast("int")
+    kept = blocks.select("_row", F.explode(F.sequence(F.lit(1), size))).select("_row.*")
+    return inside.select(*columns).unionByName(kept)
 
 
 def structure_profile(docs: DataFrame, top: int | None = None) -> DataFrame:

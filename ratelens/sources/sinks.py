@@ -5,8 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
-from ratelens.operators.facts import standard_charges
-from ratelens.operators.staging import newest_per_key
+from ratelens.operators.facts import newer_charges
 from ratelens.schemas import MANIFEST
 
 EXPORTED = ("dim_hospital", "dim_procedure", "dim_payer", "fct_standard_charges_semantic")
@@ -147,9 +146,8 @@ def merge_charges(path: str, base: DataFrame, hospitals: DataFrame, staging: str
     """
     spark = base.sparkSession
     target = spark.read.parquet(path)
-    newest = target.agg(F.max("ingested_at")).scalar()
-    fresh = newest_per_key(base.filter(newest.isNull() | (F.col("ingested_at") > newest)))
-    fresh = standard_charges(fresh, hospitals).withColumn("ingest_day", _day())
+    newest = target.agg(F.max("ingested_at")).first()[0]  # one value
+    fresh = newer_charges(base, newest, hospitals).withColumn("ingest_day", _day())
     fresh.write.mode("overwrite").parquet(f"{staging}/fresh")
     fresh = spark.read.parquet(f"{staging}/fresh")
     keys = fresh.select("standard_charge_sk")

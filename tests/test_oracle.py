@@ -15,6 +15,7 @@ CHECKED = [
     "v13_quality_metrics", "g03_funnel", "a05_payer_rollup", "a10_hospital_rates",
     "a28_search_kpis", "a30_histogram", "a31_measures", "a32_negotiated_cash_delta",
     "q06_code_formats", "i02_not_loaded", "i19_extract_records",
+    "q00_check_run_delivered", "i21_capped", "m09_returning_keys",
 ]
 
 

@@ -1,10 +1,13 @@
 """Amounts and keys as files write them, first lines, and reruns that have fewer rows."""
 
+import datetime
 import json
+from collections import Counter
 
 from pyspark.sql import functions as F
 
-from ratelens.operators import silver
+from ratelens.operators import facts, quality, silver
+from ratelens.schemas import STAGED_CHARGE
 from ratelens.sources import files, json_files, sinks
 
 
@@ -66,3 +69,48 @@ def test_profiles_cover_every_line_and_level(spark):
     lines = spark.range(2500).select(F.format_string('{"k%d": 1}', "id").alias("line"))
     row = json_files.key_profile(lines).first()
     assert row.json_lines == 2500 and len(row.sample_keys.split(",")) == 2500
+
+
+def test_check_run_counts_over_one_scan(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.createDataFrame(
+        [(1, "a", "x"), (1, None, "y"), (2, "b", "x"), (None, "z", None), (None, "a", "x")], "k int, c string, u string"
+    ).write.parquet(path)
+    rows, parent = spark.read.parquet(path), spark.createDataFrame([("x",), ("x",), (None,)], "p string")
+    run = quality.check_run(
+        rows, "t", {**quality.no_nulls("k", "c"), **quality.only_values("c", ["a", "b"])}, unique=["k", "u"],
+        references=[quality.Reference("u", parent, "p")])
+    assert {r.check_name: r.violations for r in run.collect()} == {
+        "not_empty": 0, "not_null k": 2, "not_null c": 1, "accepted_values c": 1, "relationships u": 1,
+        "unique k": 1, "unique u": 1,
+    }
+    assert run._jdf.queryExecution().optimizedPlan().toString().count("parquet") == 1
+    empty = quality.check_run(rows.limit(0), "t", quality.no_nulls("k"), unique=["u"])
+    assert {r.check_name: r.violations for r in empty.collect()} == {"not_empty": 1, "not_null k": 0, "unique u": 0}
+
+
+def test_capped_rows_are_the_same_each_time(spark, monkeypatch):
+    monkeypatch.setattr(json_files, "COPIES", 7)
+    rows = spark.range(60).selectExpr("cast(id as string) as a", "cast(null as string) as b").unionByName(
+        spark.range(100).selectExpr("'same' as a", "'row' as b"))
+    whole = sorted(rows.collect(), key=str)
+    assert sorted(json_files.capped(rows, 0).collect(), key=str) == whole
+    before = []
+    for n in (1, 50, 130, 160, 500):
+        kept = sorted(json_files.capped(rows, n).collect(), key=str)
+        assert len(kept) == min(n, 160)
+        assert kept == sorted(json_files.capped(rows.repartition(5), n).collect(), key=str)
+        assert not Counter(before) - Counter(kept) and not Counter(kept) - Counter(whole)
+        before = kept
+
+
+def test_older_rows_are_left_out_in_the_scan(spark, tmp_path):
+    path = str(tmp_path / "base")
+    columns = [f"cast(null as string) as {c}" for c in STAGED_CHARGE if c != "ingested_at"]
+    spark.range(3).selectExpr(
+        "cast(id as string) as standard_charge_sk", "timestamp_seconds(id) as ingested_at", *columns).write.parquet(path)
+    hospitals = spark.createDataFrame([], "source_file_name string, hospital_id string")
+    newest = datetime.datetime(1970, 1, 1, 0, 0, 1)
+    fresh = facts.newer_charges(spark.read.parquet(path), newest, hospitals)
+    assert [r.standard_charge_sk for r in fresh.collect()] == ["2"]
+    assert "GreaterThan(ingested_at" in fresh._jdf.queryExecution().executedPlan().toString()
