@@ -7,6 +7,7 @@ blocks are main text.
 
 import html
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -131,6 +132,46 @@ def visible(page: str) -> str:
     return "".join(out)
 
 
+class Open:
+    """The stack of open elements, with where each name stands in it, so that no tag looks through all of it."""
+
+    def __init__(self, root: "Element"):
+        self.stack, self.places = [root], {}
+
+    def push(self, element: "Element") -> None:
+        self.places.setdefault(element.name, []).append(len(self.stack))
+        self.stack.append(element)
+
+    def cut(self, at: int) -> None:
+        """Close everything from the place ``at`` upward."""
+        while len(self.stack) > at:
+            self.places[self.stack.pop().name].pop()
+
+    def last(self, name: str) -> int:
+        places = self.places.get(name)
+        return places[-1] if places else 0
+
+    def bound(self) -> int:
+        """Place of the innermost element that others do not end; 0 for none."""
+        return max(map(self.last, BOUNDS))
+
+    def end(self, name: str) -> None:
+        """A closing tag: the innermost element of its name closes; a leaf only inside the innermost bound."""
+        at = self.last(name)
+        if at and (name not in LEAVES or at >= self.bound()):
+            self.cut(at)
+
+    def begin(self, name: str) -> None:
+        """An opening tag: the elements that it ends close, up to the innermost bound."""
+        if self.stack[-1].name == "p":
+            self.cut(len(self.stack) - 1)
+        if name in ENDED:
+            bound, ended = self.bound(), ENDED[name]
+            after = [places[i] for n in ended if (places := self.places.get(n)) and (i := bisect_right(places, bound)) < len(places)]
+            if after:
+                self.cut(min(after))
+
+
 class Element:
     """An open block element: its own marks; those of what it stands in count as well."""
 
@@ -156,7 +197,8 @@ def blocks(page: str) -> list[tuple[str, int, float, int, int, int]]:
     page = visible(page)
     out: list = []
     top = Element("", False, 0, None)
-    stack, pending = [top], "main" if HOLDS_MAIN.search(page) else "article"
+    opened = Open(top)
+    stack, pending = opened.stack, "main" if HOLDS_MAIN.search(page) else "article"
     text, linked, link_depth, heading = [], 0, 0, 0
 
     def flush() -> None:
@@ -196,27 +238,16 @@ def blocks(page: str) -> list[tuple[str, int, float, int, int, int]]:
             else:
                 heading = 0
             if closing:
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k].name == name:
-                        del stack[k:]
-                        break
-                    if name in LEAVES and stack[k].name in BOUNDS:
-                        break
+                opened.end(name)
                 continue
-            if stack[-1].name == "p":
-                stack.pop()
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].name in BOUNDS:
-                    break
-                if stack[k].name in ENDED.get(name, ()):
-                    del stack[k:]
+            opened.begin(name)
             if name in CONTAINERS and not found[3].endswith("/") or name in LEAVES:
                 names = " ".join(x for m in NAMED.findall(found[3]) for x in m if x)
                 inside_main = stack[-1].main or int(name in ("article", "main") or bool(MAIN_NAMES.search(names)))
                 is_chrome = bool(CHROME_NAMES.search(SAID_OF_PAGE.sub(" ", names)))
                 if name in CHROME and not (name == "header" and stack[-1].main):
                     is_chrome = True
-                stack.append(Element(name, is_chrome and name != "body", inside_main, stack[-1]))
+                opened.push(Element(name, is_chrome and name != "body", inside_main, stack[-1]))
                 if name == pending:
                     pending = ""
                     for e in stack:

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -560,3 +561,12 @@ def test_fuzzy_lines(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.doc_id: r.dropped for r in lines.deduplicated(df).collect()}
     assert got == {0: [], 1: [0], 2: [0, 1], 3: []}
+
+
+def test_main_text_of_deep_pages_takes_linear_time():
+    """Closing tags of elements that are not open, under 50,000 open ones."""
+    for page in ("<div>" * 50_000 + "text </section>" * 50_000, "<ul><li>" + "<div>" * 50_000 + "text </li><dd>" * 50_000):
+        start = time.monotonic()
+        found = html.blocks(page)
+        assert time.monotonic() - start < 20  # a second or so; minutes where each tag looks through all
+        assert len(found) == 50_000
