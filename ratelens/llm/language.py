@@ -64,21 +64,51 @@ def counts(sample: DataFrame) -> DataFrame:
     return known.select("lang", F.lit(0).alias("length"), "piece", "n").unionByName(cut.groupBy("lang", "length", "piece").agg(F.sum("n").alias("n")))
 
 
+# Words whose frequencies a task keeps at hand; a text with more of them is counted in parts.
+CACHED_WORDS = 200_000
+
+
 class Model:
     """Log frequencies by language of words and n-grams."""
 
     def __init__(self, langs: list[str], tables: dict[int, dict[str, np.ndarray]]):
         self.langs, self.tables = langs, tables
 
+    def rows(self) -> dict[int, tuple[dict[str, int], np.ndarray]]:
+        """Per length the place of each piece and the matrix of its frequencies."""
+        return {k: ({p: i for i, p in enumerate(t)}, np.stack(list(t.values()))) for k, t in self.tables.items() if t}
+
     def vector(self, word: str) -> np.ndarray:
-        found = self.tables.get(0, {}).get(word)
-        for length in range(LONGEST, 0, -1):
-            if found is not None:
+        return vectors(self.rows(), [word], len(self.langs))[0]
+
+
+def vectors(rows: dict, words: list[str], langs: int) -> np.ndarray:
+    """A row per word: its own frequencies, else the mean of its longest known n-grams, else zeros."""
+    out = np.zeros((len(words), langs), np.float32)
+    own, found = rows.get(0, ({}, out))
+    lengths = [(k, rows[k][0]) for k in range(LONGEST, 0, -1) if k in rows]
+    at, places, by_length = [], [], {k: ([], [], []) for k, _ in lengths}
+    for i, word in enumerate(words):
+        place = own.get(word)
+        if place is not None:
+            at.append(i)
+            places.append(place)
+            continue
+        for k, index in lengths:
+            known = [index[p] for p in pieces(word, k) if p in index]
+            if known:
+                which, starts, flat = by_length[k]
+                which.append(i)
+                starts.append(len(flat))
+                flat += known
                 break
-            table = self.tables.get(length, {})
-            known = [table[p] for p in pieces(word, length) if p in table]
-            found = np.mean(known, axis=0) if known else None
-        return found if found is not None else np.zeros(len(self.langs), np.float32)
+    if at:
+        out[at] = found[places]
+    for k, (which, starts, flat) in by_length.items():
+        if which:
+            n = np.diff(np.array([*starts, len(flat)]))
+            out[which] = np.add.reduceat(rows[k][1][flat], starts, axis=0) / n[:, None].astype(np.float32)
+    return out
 
 
 def train(docs: DataFrame, rows: int = SAMPLE_ROWS, words: int = KEPT_WORDS, grams: int = KEPT_GRAMS) -> Model:
@@ -118,8 +148,8 @@ def predicted(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = Model(*shared.value)
-        place: dict[str, int] = {}
-        vectors = np.zeros((200_000, max(1, len(own.langs))), np.float32)
+        known, place = own.rows(), {}
+        cache = np.zeros((CACHED_WORDS, max(1, len(own.langs))), np.float32)
         for batch in batches:
             langs, scores = [], []
             for text in batch["text"]:
@@ -129,19 +159,18 @@ def predicted(docs: DataFrame, model: Model) -> DataFrame:
                     scores.append(0.0)
                     continue
                 total = np.zeros(len(own.langs))
-                ids, ns = [], []
-                for word, n in seen.items():
-                    at = place.get(word)
-                    if at is None:
-                        if len(place) >= len(vectors):  # the cache is full: what it gave counts first
-                            total += np.array(ns, float) @ vectors[ids] if ids else 0
-                            ids, ns = [], []
-                            place.clear()
-                        at = place[word] = len(place)
-                        vectors[at] = own.vector(word)
-                    ids.append(at)
-                    ns.append(n)
-                total += np.array(ns, float) @ vectors[ids]
+                counted = list(seen.items())
+                for start in range(0, len(counted), CACHED_WORDS):
+                    part = counted[start : start + CACHED_WORDS]
+                    new = [w for w, _ in part if w not in place]
+                    if len(place) + len(new) > CACHED_WORDS:
+                        place.clear()
+                        new = [w for w, _ in part]
+                    first = len(place)
+                    if new:
+                        cache[first : first + len(new)] = vectors(known, new, len(own.langs))
+                        place.update(zip(new, range(first, first + len(new))))
+                    total += np.array([n for _, n in part], float) @ cache[[place[w] for w, _ in part]]
                 p = np.exp(total - total.max())
                 best = int(np.argmax(total))
                 langs.append(own.langs[best])

@@ -570,3 +570,27 @@ def test_main_text_of_deep_pages_takes_linear_time():
         found = html.blocks(page)
         assert time.monotonic() - start < 20  # a second or so; minutes where each tag looks through all
         assert len(found) == 50_000
+
+
+def plain_vector(tables, langs, word):
+    for length in (0, *range(language.LONGEST, 0, -1)):
+        parts = [word] if length == 0 else language.pieces(word, length)
+        known = [tables[length][p] for p in parts if p in tables.get(length, {})]
+        if known:
+            return np.mean(known, axis=0)
+    return np.zeros(langs, np.float32)
+
+
+def test_words_of_a_batch_get_the_frequencies_of_each_alone():
+    random = np.random.default_rng(3)
+    texts = ["".join(random.choice(list("abcdeé"), size=n)) for n in random.integers(1, 9, 400)]
+    tables = {}
+    for word in texts[:60]:
+        for length in range(language.LONGEST + 1):
+            for p in [word] if length == 0 else language.pieces(word, length):
+                tables.setdefault(length, {})[p] = random.random(3).astype(np.float32)
+    rows_ = language.Model(["x", "y", "z"], tables).rows()
+    words = [*texts, "Ω", "ΩΩΩΩΩΩΩ"]
+    np.testing.assert_allclose(
+        language.vectors(rows_, words, 3), [plain_vector(tables, 3, w) for w in words], rtol=1e-5)
+    assert language.vectors({}, ["a"], 2).tolist() == [[0, 0]] and language.vectors(rows_, [], 3).shape == (0, 3)
