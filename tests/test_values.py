@@ -114,3 +114,15 @@ def test_older_rows_are_left_out_in_the_scan(spark, tmp_path):
     fresh = facts.newer_charges(spark.read.parquet(path), newest, hospitals)
     assert [r.standard_charge_sk for r in fresh.collect()] == ["2"]
     assert "GreaterThan(ingested_at" in fresh._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_document_is_read_once_per_value(spark):
+    """What a lambda names several times is computed once: the plan does not repeat the look-ups."""
+    from ratelens.operators import silver
+
+    bronze = spark.createDataFrame(
+        [("a.json", "json", "2024-01-01", '{"standardCharges":[]}')],
+        "source_path string, source_format string, ingest_date string, payload_json string",
+    )
+    plan = silver.candidate_rates(bronze)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") <= 2 and plan.count("variant_get(") <= 40
