@@ -9,11 +9,9 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratelens.llm.common import bound, staged, text_of, words_of
+from ratelens.llm.common import bound, small, staged, text_of, words_of
 
 BUCKETS = 16_384
-#: Documents that are trusted, and as many that are not, at most: the smallest hashes of doc_id.
-TRUSTED_ROWS = 20_000
 MIN_WORDS, MOST_REPEATED = 50, 50
 #: The share of the trusted documents that pass the rules above and may still be rejected.
 TRUSTED_LOSS = 0.002
@@ -68,19 +66,18 @@ def failed() -> Column:
     return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
 
 
-def labelled(labels: DataFrame, rows: int = TRUSTED_ROWS) -> DataFrame:
-    """(doc_id, good): at most ``rows`` good and ``rows`` bad labels, those of the smallest hashes.
+def labelled(labels: DataFrame) -> DataFrame:
+    """(doc_id, good) of every labelled document.
 
     A document with several labels is good only if all say so; null ids and null labels are left out.
     """
-    one = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg((F.min("quality") == 1).alias("good"))
-    by_hash = F.xxhash64("doc_id")
-    return one.where("good").orderBy(by_hash).limit(rows).unionByName(one.where("not good").orderBy(by_hash).limit(rows))
+    known = labels.where("doc_id is not null and quality is not null")
+    return known.groupBy("doc_id").agg((F.min("quality") == 1).alias("good"))
 
 
 def weights(docs: DataFrame, sample: DataFrame, buckets: int = BUCKETS) -> list[float]:
     """log(P(bucket | trusted) / P(bucket | raw)), add-one smoothed; one number a bucket."""
-    words = docs.join(F.broadcast(sample.where("good")), "doc_id", "left").select(
+    words = docs.join(small(sample.where("good")), "doc_id", "left").select(
         F.coalesce("good", F.lit(False)).alias("good"), words_of(text_of()).alias("words")
     )
     counts = (
@@ -122,10 +119,17 @@ def threshold(docs: DataFrame, sample: DataFrame, scored: DataFrame, loss: float
 
     Of the trusted documents, those count that pass the base rules and were kept back, but for copies of one that was not.
     """
-    good = docs.select("doc_id", "text").join(F.broadcast(sample.where("good").select("doc_id")), "doc_id")
+    good = docs.select("doc_id", "text").join(small(sample.where("good").select("doc_id")), "doc_id")
     trusted = shape(good.where(kept_back())).where(~failed()).select(*key_of(text_of()))
     fresh = trusted.join(good.where(~kept_back()).select(*key_of(text_of())), ["k1", "k2"], "left_anti")
-    return fresh.join(scored, ["k1", "k2"]).agg(F.percentile("ratio", F.lit(loss))).first()[0]
+    ratios = staged(fresh.join(scored, ["k1", "k2"]).select("ratio").where("ratio is not null"))
+    place = (ratios.count() - 1) * loss
+    if place < 0:
+        return None
+    # The two scores around the place, among as many of the lowest; no task holds all of them.
+    low, *high = [r.ratio for r in ratios.orderBy("ratio").offset(math.floor(place)).limit(2).collect()]
+    part = place - math.floor(place)
+    return low if not part or high[0] == low else (1 - part) * low + part * high[0]
 
 
 def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:

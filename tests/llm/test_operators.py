@@ -594,3 +594,20 @@ def test_words_of_a_batch_get_the_frequencies_of_each_alone():
     np.testing.assert_allclose(
         language.vectors(rows_, words, 3), [plain_vector(tables, 3, w) for w in words], rtol=1e-5)
     assert language.vectors({}, ["a"], 2).tolist() == [[0, 0]] and language.vectors(rows_, [], 3).shape == (0, 3)
+
+
+def test_quality_takes_every_label(spark):
+    labels = spark.range(41_000).selectExpr("id as doc_id", "cast(id % 2 as int) as quality")
+    got = {r.good: r["count"] for r in quality.labelled(labels).groupBy("good").count().collect()}
+    assert got == {True: 20_500, False: 20_500}
+
+
+def test_quality_limit_is_the_percentile(spark):
+    from pyspark.sql import functions as F
+
+    docs = spark.range(900).selectExpr("id as doc_id", "concat_ws(' ', transform(sequence(1, 60), i -> concat('w', id, 'x', i))) as text")
+    sample = docs.selectExpr("doc_id", "true as good")
+    scored = docs.select(*quality.key_of(F.col("text")), (F.col("doc_id") / 7).alias("ratio"))
+    back = scored.join(docs.where(quality.kept_back()).select(*quality.key_of(F.col("text"))), ["k1", "k2"])
+    want = back.agg(F.percentile("ratio", F.lit(0.013))).first()[0]
+    assert quality.threshold(docs, sample, scored, 0.013) == pytest.approx(want, rel=1e-12)
