@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ratelens.sources.files import decoded, encodings, scan, with_line_numbers
+from ratelens.sources.tables import written
 
 SEPARATOR = "}"
 SCALAR = r'(?:"[^"\\]*+(?:\\.[^"\\]*+)*+"|[-+.0-9eE]++|true|false|null)'
@@ -91,7 +92,7 @@ def elements(raw: DataFrame, key: str | None = None) -> DataFrame:
     do not match or that goes on after its array. A key of that name deeper down is none of the document. What comes
     before the first bracket of a file is left out.
     """
-    scanned = depths(raw)
+    scanned = written(depths(raw))
     top, name, scalars = 1, "", ""
     if key is not None:
         top, name, scalars = 2, rf'(?<!\\)"(?i:\Q{key}\E)"\s*+:\s*+', SCALAR

@@ -1,7 +1,13 @@
 """Reading tables so that every core has work."""
 
+import os
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
+from ratelens.session import shared_folder
+
 SPLIT_BYTES = 128 * 1024 * 1024
 
 
@@ -21,6 +27,18 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(cores, *keys)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder and read back, for a frame that several branches read.
+
+    Branches that read different columns don't share a shuffle: each would compute the frame anew.
+    """
+    spark = df.sparkSession
+    folder = shared_folder(spark, tempfile.gettempdir())
+    path = os.path.join(folder, f"ratelens-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def read_table(spark: SparkSession, path: str, *spread_by: str) -> DataFrame:
     """A Parquet table, spread over the cores by ``spread_by`` when it is small."""
     df = spark.read.parquet(path)

@@ -126,3 +126,16 @@ def test_a_document_is_read_once_per_value(spark):
     )
     plan = silver.candidate_rates(bronze)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json(") <= 2 and plan.count("variant_get(") <= 40
+
+
+def test_depths_are_scanned_once(spark):
+    """Every branch of the cut reads the written scan."""
+    from ratelens.sources import json_elements
+
+    raw = spark.createDataFrame(
+        [("a.json", 0, 0, '{"k":[{"x":1', 23), ("a.json", 0, 1, ',{"x":2', 23), ("a.json", 0, 2, "]", 23)],
+        "source_path string, block long, position long, bytes string, file_size_bytes long",
+    )
+    cut = json_elements.elements(raw, "k")
+    assert "from_in" not in cut._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(r.element for r in cut.collect()) == ['{"x":1}', '{"x":2}']
