@@ -30,6 +30,7 @@ from ratelens.plans.marts import from_test_tables
 from ratelens.schemas import SOURCE_SYSTEMS
 from ratelens.session import configure
 from ratelens.sources import csv_files, files, json_elements, json_files
+from ratelens.sources.tables import written
 
 QUERIES = {}
 
@@ -95,13 +96,13 @@ def _(m, spark, sf_dir):
 
 @query("m10_lake_standard_charges")
 def _(m, spark, sf_dir):
-    base = lake_base(spark, sf_dir)
+    base = written(lake_base(spark, sf_dir))
     return facts.lake_standard_charges(base, dims.lake_dim_hospital(base))
 
 
 @query("m14_lake_semantic")
 def _(m, spark, sf_dir):
-    base = lake_base(spark, sf_dir)
+    base = written(lake_base(spark, sf_dir))
     return facts.lake_semantic_charges(
         facts.lake_standard_charges(base, dims.lake_dim_hospital(base))
     )

@@ -128,6 +128,14 @@ def test_a_document_is_read_once_per_value(spark):
     assert plan.count("from_json(") <= 2 and plan.count("variant_get(") <= 40
 
 
+def test_lake_rows_are_parsed_once(spark, sf_dir):
+    """Dimension and fact read the written base; neither parses a document again."""
+    from ratelens.plans.queries import QUERIES
+
+    plan = QUERIES["m10_lake_standard_charges"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert "from_json(" not in plan
+
+
 def test_depths_are_scanned_once(spark):
     """Every branch of the cut reads the written scan."""
     from ratelens.sources import json_elements
