@@ -17,6 +17,7 @@ from ratelens.operators.dims import hospital_display
 from ratelens.operators.median import exact_median, join_on
 from ratelens.operators.rows import at_least_one, distinct_count, one_row, row_count
 from ratelens.plans.marts import Marts
+from ratelens.sources.tables import broadcast_if_small, written
 
 ANY = ("", "ANY", "— ANY —")
 CODE_KEY = ["billing_code", "billing_code_type"]
@@ -548,7 +549,11 @@ def denormalized(marts: Marts) -> DataFrame:
         .groupBy(*CODE_KEY)
         .agg(F.min("description").alias("_described"))
     )
-    rows = _with_names(marts.fct_standard_charges_semantic, marts.dim_hospital)
+    # Both lookups are written first, so that small ones are sent to the rates instead of shuffling every rate.
+    described = broadcast_if_small(written(described))
+    names = hospital_display(marts.dim_hospital).withColumnRenamed("hospital_name_clean", "_clean")
+    names = broadcast_if_small(written(names))
+    rows = marts.fct_standard_charges_semantic.join(names, "hospital_id", "left")
     return (
         rows.join(described, CODE_KEY, "left")
         .withColumns(
