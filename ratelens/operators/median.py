@@ -14,22 +14,65 @@ def _bucket(value: Column) -> Column:
     return F.when(value > 0, shifted).when(value < 0, -shifted).otherwise(F.lit(0))
 
 
+# Rows from which on a group is not sorted by one task. At most rows / HOT_GROUP groups are that large.
+HOT_GROUP = 200_000
+
+
 def exact_summary(
-    df: DataFrame, keys: list[str], value: str, latest: str | None = None
+    df: DataFrame, keys: list[str], value: str, latest: str | None = None, hot: int = HOT_GROUP
 ) -> DataFrame:
     """Count, minimum, maximum and median of ``value`` per group that has one.
 
+    Rows of a group are brought together by one shuffle of the columns that are used, and ranked there. Groups of
+    ``hot`` rows and more are found beforehand by counting hashes of their keys; they go through value buckets
+    (``_bucketed_summary``), so that no hot group is sorted in one task.  ``latest`` adds the maximum of that column.
+    """
+    rows = df.select(
+        *keys, (F.col(value).cast("double") + F.lit(0.0)).alias("_value"), (F.col(latest) if latest else F.lit(None)).alias("_latest"),
+    ).filter("_value is not null")
+    if not keys:
+        return _bucketed_summary(rows, keys)
+    mark = F.xxhash64(*keys)
+    large = rows.groupBy(mark.alias("_mark")).agg(F.count("*").alias("_n")).filter(F.col("_n") >= hot)
+    large = F.broadcast(large.select("_mark"))
+    marked = rows.withColumn("_mark", mark)
+    usual = marked.join(large, "_mark", "left_anti").drop("_mark")
+    rest = marked.join(large, "_mark", "left_semi").drop("_mark")
+    return _ranked_summary(usual, keys).unionByName(_bucketed_summary(rest, keys))
+
+
+def _ranked_summary(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The summary of groups that a task can sort: every step runs where the one shuffle by key put the rows."""
+    amount = F.col("_value")
+    in_order = Window.partitionBy(*keys).orderBy("_value")
+    whole = Window.partitionBy(*keys)
+    at = F.col("_at")
+    return (
+        rows.withColumns({"_at": F.row_number().over(in_order), "_total": F.count("*").over(whole)})
+        .groupBy(*keys)
+        .agg(
+            F.count("*").alias("row_count"),
+            F.min("_value").alias("lowest"),
+            F.max("_value").alias("highest"),
+            (
+                (F.min(F.when(at == F.expr("(_total + 1) div 2"), amount))
+                 + F.min(F.when(at == F.expr("(_total + 2) div 2"), amount))) / 2
+            ).alias("median"),
+            F.max("_latest").alias("latest"),
+        )
+    )
+
+
+def _bucketed_summary(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The summary of groups of any size.
+
     Equal values are counted before anything is compared.  Group totals per value bucket then tell
-    which bucket holds the middle ranks, and only that bucket is ordered, so neither a hot group
-    nor the whole table is ever sorted in one task.  ``latest`` adds the maximum of that column.
+    which bucket holds the middle ranks, and only that bucket is ordered.
     """
     amount = F.col("_value")
-    stamp = F.max(latest) if latest else F.lit(None)
     counted = (
-        df.select(*df.columns, F.col(value).cast("double").alias("_value"))
-        .filter(amount.isNotNull())
-        .groupBy(*keys, "_value")
-        .agg(F.count("*").alias("_n"), stamp.alias("_latest"))
+        rows.groupBy(*keys, "_value")
+        .agg(F.count("*").alias("_n"), F.max("_latest").alias("_latest"))
         .withColumn("_bucket", _bucket(amount))
     )
     along = Window.partitionBy(*keys).orderBy("_bucket")

@@ -57,3 +57,17 @@ def test_base_is_built_once_and_only_if_read(spark, sf_dir):
     marts = Marts(base, testdata.source(spark, sf_dir, "csv_registry"), testdata.source(spark, sf_dir, "json_registry"))
     assert marts.hospital_lookup.count() > 0 and not built
     assert marts.dim_payer.count() == 0 and marts.fct_standard_charges.count() == 4 and built == [1]
+
+
+@pytest.mark.parametrize("hot", [1, 3, 1000])
+def test_summary_in_one_shuffle(spark, hot):
+    values = {("a", None): [3.0, 1.0, 2.0, 2.0], (None, "b"): [5.0], ("a", "b"): [1.0, 4.0, 2.0, -9.0, 0.0, 7.0], ("n", "n"): [None]}
+    rows = [(*k, v, i) for k, vs in values.items() for i, v in enumerate(vs)]
+    df = spark.createDataFrame(rows, "k string, j string, v double, t int")
+    got = {(r.k, r.j): r for r in exact_summary(df, ["k", "j"], "v", latest="t", hot=hot).collect()}
+    assert set(got) == set(values) - {("n", "n")}
+    for key, r in got.items():
+        vs = values[key]
+        assert (r.row_count, r.lowest, r.highest, r.median, r.latest) == (len(vs), min(vs), max(vs), statistics.median(vs), len(vs) - 1)
+    plan = median._ranked_summary(df.select("k", F.col("v").alias("_value"), F.col("t").alias("_latest")), ["k"])
+    assert plan._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 1
