@@ -17,8 +17,9 @@ from ratelens.functions.rates import (
     unit_of,
 )
 from ratelens.operators.dims import with_families, with_hospital_id
-from ratelens.operators.staging import newest_per_key
+from ratelens.operators.staging import REPEATED_KEYS, newest_of_written, newest_per_key
 from ratelens.schemas import COMPARABLE, HARMONIZED, SEMANTIC, SOURCE_SYSTEMS, STAGED_CHARGE
+from ratelens.sources.tables import written
 
 
 def standard_charges(base: DataFrame, hospitals: DataFrame) -> DataFrame:
@@ -45,9 +46,27 @@ def newer_charges(base: DataFrame, newest, hospitals: DataFrame) -> DataFrame:
 def merge_charges(target: DataFrame, base: DataFrame, hospitals: DataFrame) -> DataFrame:
     """Charges after an incremental load: base rows newer than the target replace or join it."""
     newest = target.agg(F.max("ingested_at")).first()[0]  # one value
-    fresh = newer_charges(base, newest, hospitals)
-    kept = target.join(fresh.select("standard_charge_sk"), "standard_charge_sk", "left_anti")
-    return kept.unionByName(fresh)
+    newer = base if newest is None else base.filter(F.col("ingested_at") > F.lit(newest))
+    fresh = standard_charges(newest_of_written(written(newer)), hospitals)
+    return _without(target, fresh.select("standard_charge_sk")).unionByName(fresh)
+
+
+def _without(target: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rows of the target whose key is not among ``keys``.
+
+    Hashes of the keys on both sides meet first, so that rows are shuffled only if many keys return.
+    """
+    mark = F.xxhash64("standard_charge_sk").alias("_mark")
+    returning = written(target.select(mark).join(keys.select(mark), "_mark", "left_semi").distinct())
+    n = returning.limit(REPEATED_KEYS + 1).count()
+    if n == 0:
+        return target
+    if n > REPEATED_KEYS:
+        return target.join(keys, "standard_charge_sk", "left_anti")
+    # At most as many rows as hashes return; keys of one hash are told apart by the second join.
+    marks = F.broadcast(returning)
+    met = F.broadcast(written(keys.withColumn("_mark", mark).join(marks, "_mark", "left_semi").drop("_mark")))
+    return target.join(met, "standard_charge_sk", "left_anti")
 
 
 def lake_standard_charges(base: DataFrame, hospitals: DataFrame) -> DataFrame:

@@ -59,6 +59,22 @@ def test_base_is_built_once_and_only_if_read(spark, sf_dir):
     assert marts.dim_payer.count() == 0 and marts.fct_standard_charges.count() == 4 and built == [1]
 
 
+@pytest.mark.parametrize("limit", [0, 1, 100])
+def test_merge_replaces_returning_keys(spark, sf_dir, limit, monkeypatch):
+    monkeypatch.setattr(facts, "REPEATED_KEYS", limit)
+    lookup = Marts(None, testdata.source(spark, sf_dir, "csv_registry"), testdata.source(spark, sf_dir, "json_registry")).hospital_lookup
+    old = facts.standard_charges(staging.charge_base(charges(spark, ROWS)), lookup)
+    later = F.lit(datetime.datetime(2024, 2, 1))
+    base = staging.charge_base(charges(spark, ROWS + [("d", "9", "new", 1.0)])).withColumns(
+        {"ingested_at": F.when(F.col("raw_rate_json").isin("a", "b", "d"), later).otherwise(F.col("ingested_at")),
+         "description": F.lit("again")})
+    got = facts.merge_charges(old, base.unionByName(base), lookup)
+    fresh = base.filter(F.col("ingested_at") == later)
+    assert fresh.count() == 3 and got.count() == 5
+    assert sorted(r.raw_rate_json or "" for r in got.filter("description = 'again'").collect()) == ["a", "b", "d"]
+    assert as_set(facts.merge_charges(old, base.limit(0), lookup)) == as_set(old)
+
+
 @pytest.mark.parametrize("hot", [1, 3, 1000])
 def test_summary_in_one_shuffle(spark, hot):
     values = {("a", None): [3.0, 1.0, 2.0, 2.0], (None, "b"): [5.0], ("a", "b"): [1.0, 4.0, 2.0, -9.0, 0.0, 7.0], ("n", "n"): [None]}
