@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ratelens.functions.codes import HARD_FORMATS, code_issue, code_type_norm, validation_code
 from ratelens.schemas import CONTRACT_COLUMNS
+from ratelens.sources.tables import broadcast_if_small, written
 
 
 def not_null(df: DataFrame, *columns: str) -> DataFrame:
@@ -101,6 +102,8 @@ def check_run(df: DataFrame, table: str, rows: dict[str, Column], unique=(), ref
     checks = dict(rows)
     for i, (column, parent, key) in enumerate(references):
         keys = parent.select(F.col(key).alias(column)).filter(F.col(column).isNotNull()).distinct()
+        # Written first, so that few keys are sent to the rows instead of shuffling every row.
+        keys = broadcast_if_small(written(keys))
         df = df.join(keys.withColumn(f"_known{i}", F.lit(True)), column, "left")
         checks[f"relationships {column}"] = F.col(column).isNotNull() & F.col(f"_known{i}").isNull()
     flags = {f"_c{i}": F.coalesce(condition, F.lit(False)).cast("long") for i, condition in enumerate(checks.values())}

@@ -87,3 +87,16 @@ def test_summary_in_one_shuffle(spark, hot):
         assert (r.row_count, r.lowest, r.highest, r.median, r.latest) == (len(vs), min(vs), max(vs), statistics.median(vs), len(vs) - 1)
     plan = median._ranked_summary(df.select("k", F.col("v").alias("_value"), F.col("t").alias("_latest")), ["k"])
     assert plan._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 1
+
+
+def test_check_run_sends_few_parents_to_the_rows(spark):
+    rows = spark.createDataFrame([("a",), ("b",), (None,)], "k string").repartition(3)
+    parents = spark.createDataFrame([("a",), ("a",), (None,)], "p string")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        run = quality.check_run(rows, "t", {}, references=[quality.Reference("k", parents, "p")])
+        assert "SortMergeJoin" not in run._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert {r.check_name: r.violations for r in run.collect()} == {"not_empty": 0, "relationships k": 1}
