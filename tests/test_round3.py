@@ -100,3 +100,19 @@ def test_check_run_sends_few_parents_to_the_rows(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     assert {r.check_name: r.violations for r in run.collect()} == {"not_empty": 0, "relationships k": 1}
+
+
+def test_families_are_looked_up_by_pair(spark, sf_dir):
+    """Rates have the families that the maps give their names, blank ones and unknown ones included."""
+    names = [("Aetna [123]", "PPO"), (None, None), ("", "choice."), ("Nobody & Co", None), (None, "PPO")]
+    pairs = spark.createDataFrame([(f"r{i}", *n) for i, n in enumerate(names)], "raw_rate_json string, payer_name string, plan_name string")
+    plain = charges(spark, [(f"r{i}", "1", "x", 2.0) for i in range(len(names))]).drop("payer_name", "plan_name")
+    df = plain.join(pairs, "raw_rate_json")
+    registries = testdata.source(spark, sf_dir, "csv_registry"), testdata.source(spark, sf_dir, "json_registry")
+    plans = spark.createDataFrame([("", "", "NO PLAN"), ("Aetna", "PPO", "PPO")], "payer_family string, plan_name_norm string, plan_family string")
+    marts = Marts(lambda: staging.written_charge_base(df), *registries, plan_map=plans)
+    plan = marts.fct_rates_comparable_harmonized._jdf.queryExecution().optimizedPlan().toString()
+    assert marts.families.count() == 5 and "strategy=broadcast" in plan
+    direct = facts.harmonized_rates(marts.fct_rates_comparable, marts.payer_map, plans)
+    assert sorted(map(repr, marts.fct_rates_comparable_harmonized.collect())) == sorted(map(repr, direct.collect()))
+    assert direct.filter("plan_family = 'NO PLAN'").count() == 1
