@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ratelens.llm.common import ascii_lower, small, staged, text_of
+from ratelens.llm.common import BROADCAST_ROWS, ascii_lower, small, staged, text_of
 
 #: What parts words: all of ASCII but letters and digits.
 BREAKS = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
@@ -70,6 +70,16 @@ def matches(index: DataFrame, places: DataFrame, slop: int = SLOP) -> DataFrame:
     return found.select("doc", "wid", "start", (F.col("mask") == F.col("full")).alias("exact"))
 
 
+def with_found(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """``docs`` left-joined with ``found`` (unique on doc). As a rule few documents have matches: only those are shuffled."""
+    marks = found.select("doc")
+    if marks.limit(BROADCAST_ROWS + 1).count() > BROADCAST_ROWS:
+        return docs.join(found, "doc", "left")
+    marks = F.broadcast(marks)
+    clean = docs.join(marks, "doc", "left_anti").withColumn("found", F.lit(None).cast(found.schema["found"].dataType))
+    return docs.join(marks, "doc", "left_semi").join(found, "doc").unionByName(clean)
+
+
 def scanned(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, terms: int = TERMS, slop: int = SLOP) -> DataFrame:
     """``docs`` with n_words, n_hit, n_items, n_near, items_sha256, contaminated.
 
@@ -87,7 +97,7 @@ def scanned(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, terms: i
     found = matches(index, places, slop).join(small(wins), "wid")
     cell = F.struct("start", "terms", "items", "exact", "wid")
     found = staged(found.groupBy("doc").agg(F.collect_list(cell).alias("found")))  # bounded by the document's length
-    joined = docs.join(found, "doc", "left").withColumn("terms", terms_of(text_of()))
+    joined = with_found(docs, found).withColumn("terms", terms_of(text_of()))
     occurs = (
         "get(transform(array(terms), t -> filter(coalesce(found, array()), f -> f.exact and f.start >= 0"
         " and slice(t, greatest(f.start, 0) + 1, size(f.terms)) = f.terms)), 0)"
