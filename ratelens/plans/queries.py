@@ -673,14 +673,14 @@ def _(m, spark, sf_dir):
 def _(m, spark, sf_dir):
     """Canonical rows of CSV files with line breaks in quotes and stray quotes."""
     raw = testdata.csv_lines(spark, sf_dir)
-    return csv_files.canonical_rows(raw, csv_files.bronze_profile(raw))
+    return csv_files.canonical_rows(raw, written(csv_files.bronze_profile(raw)))
 
 
 @query("s02_preamble_rows")
 def _(m, spark, sf_dir):
     """Landing rows of the same files, below a preamble."""
     raw = testdata.csv_lines(spark, sf_dir)
-    return csv_files.landing_rows(raw, csv_files.landing_profile(raw))
+    return csv_files.landing_rows(raw, written(csv_files.landing_profile(raw)))
 
 
 @query("i09_header")
@@ -877,7 +877,7 @@ def _(m, spark, sf_dir):
 def _(m, spark, sf_dir):
     """Registry rows of CSV files; of files with a number divisible by 5 no row was loaded."""
     raw = testdata.csv_lines(spark, sf_dir)
-    profile = csv_files.landing_profile(raw)
+    profile = written(csv_files.landing_profile(raw))
     loaded = csv_files.landing_rows(raw, profile).filter("cast(split(source_file_name, '[.]')[0] as int) % 5 <> 0")
     rows = csv_files.registry_rows(profile, loaded, "run", F.current_timestamp())
     return rows.select("source_file_name", "run_id", "format_hint", "delimiter", "rows_loaded", "status", "error_message")

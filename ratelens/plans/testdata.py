@@ -8,7 +8,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ratelens.sources.tables import read_table
+from ratelens.sources.tables import read_table, written
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -290,7 +290,8 @@ def csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Physical lines of one CSV file per supplier, as the line scan gives them, blocks included.
 
     Every line item is a record of two lines, with doubled quotes and a line break in its description and a
-    stray quote in its payer; blocks also end within records.
+    stray quote in its payer; blocks also end within records. Written like the files they stand for, which are
+    read several times.
     """
     # Keys repeat in this table: all that a record shows tells records apart.
     in_file = Window.partitionBy("l_suppkey").orderBy(
@@ -304,12 +305,13 @@ def csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     data = items.select(path, F.explode(parts).alias("line")).select(
         "source_path", F.expr("(line.place + 1) div 512 + 1").alias("block"), "line.place", "line.bytes"
     )
-    head = data.select("source_path").distinct().select(
+    head = table(spark, sf_dir, "lineitem").select(path).distinct().select(
         "source_path", F.lit(0).cast("long").alias("block"), F.posexplode(F.array(*map(F.lit, CSV_HEAD))).alias("place", "bytes")
     )
     both = data.unionByName(head.withColumn("place", F.col("place").cast("long")))
     order = Window.partitionBy("source_path", "block").orderBy("place")
-    return both.select("source_path", "block", (F.col("block") * 100_000 + F.row_number().over(order)).alias("position"), "bytes")
+    position = (F.col("block") * 100_000 + F.row_number().over(order)).alias("position")
+    return written(both.select("source_path", "block", position, "bytes"))
 
 
 JSON_HEAD = '{"hospital_name":"H } x","locations":[{"no":[1]}],"standard_charge_information":['

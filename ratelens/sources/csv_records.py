@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratelens.sources.files import with_line_numbers
+from ratelens.sources.tables import written
 
 
 def ends_inside(text: Column, delimiter: str) -> Column:
@@ -65,6 +66,7 @@ def numbered(lines: DataFrame) -> DataFrame:
     """``lines`` (source_path, block, line_no, bytes, from_out, from_in) with the number of the record of each.
 
     A quote that is never closed is a stray one: from its line on, every line is a record by itself.
+    Each step is written once, as the next reads it several times: as a plan alone the first scan ran a dozen times.
     """
     within = Window.partitionBy("source_path", "block").orderBy("line_no")
     before = Window.partitionBy("source_path").orderBy("block")
@@ -77,12 +79,14 @@ def numbered(lines: DataFrame) -> DataFrame:
     ends = F.when(F.col("begins") == 1, F.col("from_in")).otherwise(F.col("from_out"))
     states = scanned.join(begins, ["source_path", "block"]).withColumn("ends", ends)
     starts = F.when(F.lag("ends").over(within).isNull(), F.col("begins")).otherwise(F.lag("ends").over(within))
-    states = states.withColumn("starts", 1 - starts)
+    kept = ["source_path", "block", "line_no", "bytes", "ends"]
+    states = written(states.select(*kept, (1 - starts).alias("starts")))
     counts = states.groupBy("source_path", "block").agg(F.sum("starts").alias("n"))
     earlier = F.coalesce(F.sum("n").over(before.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     offsets = counts.select("source_path", "block", earlier.alias("earlier"))
-    placed = states.join(offsets, ["source_path", "block"]).withColumn(
-        "record", F.col("earlier") + F.sum("starts").over(within) - 1
+    record = (F.col("earlier") + F.sum("starts").over(within) - 1).alias("record")
+    placed = written(
+        states.join(offsets, ["source_path", "block"]).select("source_path", "line_no", "bytes", "ends", record)
     )
     tail = placed.groupBy("source_path").agg(F.max_by(F.struct("ends", "record"), "line_no").alias("tail"))
     stray = F.col("tail.ends").eqNullSafe(1) & (F.col("record") == F.col("tail.record"))
@@ -104,9 +108,9 @@ def records(raw: DataFrame, profile: DataFrame, delimiters) -> DataFrame:
     """
     marks = profile.select("source_path", "delimiter")
     lines = with_line_numbers(raw).select("source_path", "block", "line_no", "bytes")
-    mapped = line_maps(lines.join(marks, "source_path"), delimiters)
+    mapped = written(line_maps(lines.join(marks, "source_path"), delimiters))
     broken = mapped.filter("from_out = 1").select("source_path").distinct()
-    whole = lines.join(marks.select("source_path"), "source_path", "left_semi").join(broken, "source_path", "left_anti")
+    whole = mapped.join(broken, "source_path", "left_anti")
     texts = F.transform(F.array_sort(F.collect_list(F.struct("line_no", "bytes"))), lambda x: x["bytes"])
     joined = (
         numbered(mapped.join(broken, "source_path", "left_semi"))

@@ -1,10 +1,10 @@
-"""Costly rows are spread before they are read, members of an item are read once; dedupe and counts without whole rows."""
+"""Costly rows are spread before they are read, members of an item are read once, lines of CSV records are scanned once."""
 
 import pytest
-from pyspark.sql import functions as F
-
 from ratelens.operators import silver
 from ratelens.plans import testdata
+from ratelens.sources import csv_files
+from ratelens.sources.csv_records import records
 
 
 @pytest.mark.parametrize("name", testdata.COSTLY)
@@ -33,3 +33,14 @@ def test_members_of_an_item_are_read_once(spark):
     assert sorted(map(tuple, got), key=str) == sorted([
         ("A", None, "NEGOTIATED", 0.0, None), ("B", None, "MAXIMUM", 2.0, None), ("B", "P", "NEGOTIATED", 1.0, None),
         (None, None, None, None, "JSON_UNSUPPORTED_SHAPE")], key=str)
+
+
+def test_lines_of_records_are_scanned_once(spark, sf_dir):
+    """What the numbering of records does several times over reads tables, no plan that starts from the files again."""
+    raw = testdata.csv_lines(spark, sf_dir)
+    got = records(raw, csv_files.landing_profile(raw), csv_files.DELIMITERS)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and plan.count("Relation ") <= 6
+    # Every line item is a record of two lines, below a header of three.
+    items = testdata.table(spark, sf_dir, "lineitem")
+    assert got.count() == items.count() + 3 * items.select("l_suppkey").distinct().count()
