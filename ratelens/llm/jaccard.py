@@ -112,13 +112,22 @@ def frequencies(docs: DataFrame, width: int = WIDTH) -> np.ndarray:
     counts = docs.select("text").mapInArrow(run, "part int, task int, counts binary")
     for by in (["part", "task"], ["part"]):  # in two steps, so that no group has a row of every task
         counts = counts.groupBy(*by).applyInPandas(added, counts.schema)
-    found = {r.part: np.frombuffer(zlib.decompress(r.counts), np.int64) for r in counts.collect()}  # PARTS rows, CELLS counts
-    if not found:
-        return np.zeros(CELLS, np.uint8)
-    count = np.concatenate([found[k] for k in range(PARTS)])
-    mean = count.mean()
+    return levels_of({r.part: r.counts for r in counts.collect()})  # PARTS rows
+
+
+def levels_of(counts: dict[int, bytes]) -> np.ndarray:
+    """The levels, one byte a cell, from the compressed counts of each piece.
+
+    Opened piece by piece: the driver never holds the counts of all cells, nor what is made of them on the way.
+    """
+    levels = np.zeros(CELLS, np.uint8)
+    mean = sum(int(np.frombuffer(zlib.decompress(c), np.int64).sum()) for c in counts.values()) / CELLS
     usual = mean + 6 * np.sqrt(mean) + 8  # beyond the chance sum of rare shingles in one cell
-    return np.where(count <= usual, 0, 1 + np.log2(np.maximum(count / usual, 1))).astype(np.uint8)
+    for piece, own in zip(range(PARTS), np.split(levels, PARTS), strict=True):
+        if piece in counts:
+            count = np.frombuffer(zlib.decompress(counts[piece]), np.int64)
+            own[:] = np.where(count <= usual, 0, 1 + np.log2(np.maximum(count / usual, 1))).astype(np.uint8)
+    return levels
 
 
 def sets(docs: DataFrame, shared, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
