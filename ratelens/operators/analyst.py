@@ -17,7 +17,7 @@ from ratelens.operators.dims import hospital_display
 from ratelens.operators.median import exact_median, join_on
 from ratelens.operators.rows import at_least_one, distinct_count, one_row, row_count
 from ratelens.plans.marts import Marts
-from ratelens.sources.tables import broadcast_if_small, written
+from ratelens.sources.tables import BROADCAST_ROWS, broadcast_if_small, written
 
 ANY = ("", "ANY", "— ANY —")
 CODE_KEY = ["billing_code", "billing_code_type"]
@@ -113,13 +113,19 @@ def top_codes(
     if _given(billing_code_type):
         rows = rows.filter(_known_type() == str(billing_code_type).strip())
     rows = _where(rows, hospital_ids)
+    limit = at_least_one(limit)
+    ranked = rows.groupBy(*CODE_KEY).agg(F.sum("row_count").alias("row_count"))
+    ranked = ranked.orderBy(F.desc("row_count"), *CODE_KEY).limit(limit)
+    ranked = ranked.select(*[F.col(c).alias(f"_{c}") for c in CODE_KEY])
+    # Hospitals are told apart for the codes that remain only; both branches read one shuffle of the aggregate.
+    top = F.broadcast(ranked) if limit <= BROADCAST_ROWS else ranked
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in CODE_KEY]
     # Per hospital first, so that distinct hospitals are plain counts.
-    per_hospital = rows.groupBy(*CODE_KEY, "hospital_id").agg(F.sum("row_count").alias("n"))
-    top = (
-        per_hospital.groupBy(*CODE_KEY)
-        .agg(F.sum("n").alias("row_count"), F.count("*").alias("hospitals_covered"))
-        .orderBy(F.desc("row_count"), *CODE_KEY)
-        .limit(at_least_one(limit))
+    per_hospital = (
+        rows.join(top, same).groupBy(*CODE_KEY, "hospital_id").agg(F.sum("row_count").alias("n"))
+    )
+    top = per_hospital.groupBy(*CODE_KEY).agg(
+        F.sum("n").alias("row_count"), F.count("*").alias("hospitals_covered")
     )
     return (
         _with_description(top, marts.dim_procedure_harmonized)

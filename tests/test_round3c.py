@@ -1,10 +1,11 @@
-"""Deliveries that repeat most keys, against the plain base."""
+"""Deliveries that repeat most keys, against the plain base; the codes with the most rates."""
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ratelens.operators import staging
+from ratelens.operators import analyst, staging
+from ratelens.plans.marts import from_test_tables
 from tests.test_round3 import ROWS, as_set, charges
 
 MANY = [(str(i % 700), f"r{i % 9}" if i % 11 else None, f"d{i}", float(i % 3)) for i in range(3000)]
@@ -43,3 +44,35 @@ def test_whole_rows_are_not_shuffled(spark):
     plan = base._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning" not in plan and "Window" not in plan
     assert isinstance(base.schema["standard_charge_sk"].dataType, T.StringType) and base.count() == 2
+
+
+COMPARE = [("1", "CPT", "h1", 5), ("1", "CPT", "h1", 1), ("1", "CPT", "h2", 2), ("2", "CPT", "h1", 8), (None, "CPT", "h3", 9),
+           ("3", None, "h1", 3), ("3", None, None, 3), ("4", "RC", "h1", 1), ("4", "RC", "h2", 1)]
+
+
+class Few:
+    """The two marts that the report reads."""
+
+    def __init__(self, spark):
+        codes = "billing_code string, billing_code_type string"
+        self.agg_hospital_procedure_compare = spark.createDataFrame(COMPARE, f"{codes}, hospital_id string, row_count long")
+        self.dim_procedure_harmonized = spark.createDataFrame([("1", "CPT", "one")], f"{codes}, canonical_description string")
+
+
+@pytest.mark.parametrize("limit", [1, 3, 5, 10**7])
+def test_top_codes_by_hand(spark, limit):
+    every = [(None, "CPT", "", 9, 1), ("1", "CPT", "one", 8, 2), ("2", "CPT", "", 8, 1), ("3", "UNKNOWN", "", 6, 2), ("4", "RC", "", 2, 2)]
+    assert [tuple(r) for r in analyst.top_codes(Few(spark), limit=limit).collect()] == every[:limit]
+    assert analyst.top_codes(Few(spark), "RC", ["h2"]).first()["row_count"] == 1
+
+
+def test_hospitals_are_told_apart_for_the_top_codes_only(spark, sf_dir):
+    """The aggregate is shuffled once, and what meets the hospitals is cut to the top codes before."""
+    marts = from_test_tables(spark, sf_dir)
+    found = analyst.top_codes(marts, limit=3)
+    assert found.count() == 3
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    final = plan[: plan.index("== Initial Plan ==")] if "== Initial Plan ==" in plan else plan
+    shuffles = [line for line in final.splitlines() if "hashpartitioning(billing_code" in line and "payer_family" in line]
+    assert sorted("ReusedExchange" in line for line in shuffles) == [False, True]
