@@ -1,12 +1,27 @@
 """Aggregates that compare hospitals, payers and plans."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratelens.operators.median import exact_summary
 from ratelens.schemas import COMPARE, COMPARE_GRAIN
 
 
+def packed(name: str) -> Column:
+    """An id as bytes: what is lower-case hex at half its size behind a 1, any other text as it is behind a 0."""
+    own, half = F.col(name), F.unhex(name)
+    return F.when(F.lower(F.hex(half)) == own, F.concat(F.lit(b"\x01"), half)).when(
+        own.isNotNull(), F.concat(F.lit(b"\x00"), own.cast("binary"))
+    )
+
+
+def unpacked(name: str) -> Column:
+    """The id that ``packed`` made into bytes."""
+    rest = F.expr(f"substring({name}, 2)")
+    is_hex = F.expr(f"substring({name}, 1, 1)") == F.lit(b"\x01")
+    return F.when(is_hex, F.lower(F.hex(rest))).otherwise(rest.cast("string"))
+
+
 def hospital_procedure_compare(harmonized: DataFrame, exact: bool = False) -> DataFrame:
     """Rates that may be compared, per hospital, procedure, payer, plan and rate type.
 
@@ -31,8 +46,10 @@ def hospital_procedure_compare(harmonized: DataFrame, exact: bool = False) -> Da
             F.col("latest").alias("last_ingested_at"),
         )
     middle = F.percentile_approx("rate_amount", F.lit(0.5), F.lit(10000))
+    # An id is a hash as text, the largest part of what is shuffled; it is shuffled as bytes.
     return (
-        rates.groupBy(*grain)
+        rates.withColumn("hospital_id", packed("hospital_id"))
+        .groupBy(*grain)
         .agg(
             F.min("rate_amount").alias("min_rate"),
             F.max("rate_amount").alias("max_rate"),
@@ -40,6 +57,7 @@ def hospital_procedure_compare(harmonized: DataFrame, exact: bool = False) -> Da
             F.count("*").alias("row_count"),
             F.max("ingested_at").alias("last_ingested_at"),
         )
+        .withColumn("hospital_id", unpacked("hospital_id"))
         .select(*COMPARE)
     )
 

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ratelens.operators import analyst, staging
+from ratelens.operators import aggs, analyst, staging
 from ratelens.plans.marts import from_test_tables
 from tests.test_round3 import ROWS, as_set, charges
 
@@ -76,3 +76,18 @@ def test_hospitals_are_told_apart_for_the_top_codes_only(spark, sf_dir):
     final = plan[: plan.index("== Initial Plan ==")] if "== Initial Plan ==" in plan else plan
     shuffles = [line for line in final.splitlines() if "hashpartitioning(billing_code" in line and "payer_family" in line]
     assert sorted("ReusedExchange" in line for line in shuffles) == [False, True]
+
+
+IDS = ["0f" * 16, "0F" * 16, "abc", "0abc", "", " ", "é", "h1", "00", "0", "\x01ab", None]
+
+
+def test_ids_of_any_shape_are_kept_apart(spark):
+    rows = spark.createDataFrame([(i,) for i in IDS * 2], "hospital_id string")
+    assert [r[0] for r in rows.withColumn("hospital_id", aggs.packed("hospital_id")).select(aggs.unpacked("hospital_id")).collect()] == IDS * 2
+    fixed = {c: F.lit(c) for c in ("billing_code", "billing_code_type", "payer_family", "plan_family", "rate_category", "rate_unit", "comparability_key")}
+    rates = rows.withColumns(fixed | {"is_comparable": F.lit(True), "billing_code_is_valid": F.lit(True), "rate_amount": F.lit(2.0), "ingested_at": F.lit("d")})
+    compare = aggs.hospital_procedure_compare(rates)
+    assert sorted((str(r.hospital_id), r.row_count) for r in compare.collect()) == sorted((str(i), 2) for i in IDS)
+    assert compare.schema["hospital_id"].dataType == T.StringType()
+    hashed = rates.filter(F.col("hospital_id") == IDS[0]).select(F.octet_length(aggs.packed("hospital_id")))
+    assert hashed.first()[0] == 17
