@@ -16,6 +16,34 @@ def _bucket(value: Column) -> Column:
 
 # Rows from which on a group is not sorted by one task. At most rows / HOT_GROUP groups are that large.
 HOT_GROUP = 200_000
+# Classes of groups, by hash, that are counted to find large ones.
+CLASSES = 1 << 16
+
+
+def by_size(
+    rows: DataFrame, keys: list[str], hot: int = HOT_GROUP, among: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """``rows`` whose group is small, and the others. Every group of ``hot`` rows and more is among the others.
+
+    Rows are counted by classes of their group's hash, of which a task has a bounded number; a class of ``hot`` rows is
+    taken whole, whatever groups it holds. ``among`` is what is counted instead of ``rows``, where that costs less.
+    """
+    mark = F.pmod(F.xxhash64(*keys), F.lit(CLASSES)).cast("int")
+    counted = (rows if among is None else among).groupBy(mark.alias("_class")).agg(F.count("*").alias("_n"))
+    large = F.broadcast(counted.filter(F.col("_n") >= hot).select("_class"))
+    marked = rows.withColumn("_class", mark)
+    return marked.join(large, "_class", "left_anti").drop("_class"), marked.join(large, "_class", "left_semi").drop("_class")
+
+
+# One charge in so many is counted where partial results save time, not memory.
+COUNTED = 16
+
+
+def counted_charges(rates: DataFrame, hot: int = HOT_GROUP) -> tuple[DataFrame, int]:
+    """Rates to count instead of all, and from how many of them on a group is large. It only decides on a route."""
+    if "standard_charge_sk" not in rates.columns:
+        return rates, hot
+    return rates.filter(F.pmod(F.xxhash64("standard_charge_sk"), F.lit(COUNTED)) == 0), hot // COUNTED // 2
 
 
 def exact_summary(
@@ -24,21 +52,25 @@ def exact_summary(
     """Count, minimum, maximum and median of ``value`` per group that has one.
 
     Rows of a group are brought together by one shuffle of the columns that are used, and ranked there. Groups of
-    ``hot`` rows and more are found beforehand by counting hashes of their keys; they go through value buckets
+    ``hot`` rows and more are found beforehand (``by_size``); they go through value buckets
     (``_bucketed_summary``), so that no hot group is sorted in one task.  ``latest`` adds the maximum of that column.
     """
-    rows = df.select(
-        *keys, (F.col(value).cast("double") + F.lit(0.0)).alias("_value"), (F.col(latest) if latest else F.lit(None)).alias("_latest"),
-    ).filter("_value is not null")
+    rows = valued(df, keys, value, latest)
     if not keys:
         return _bucketed_summary(rows, keys)
-    mark = F.xxhash64(*keys)
-    large = rows.groupBy(mark.alias("_mark")).agg(F.count("*").alias("_n")).filter(F.col("_n") >= hot)
-    large = F.broadcast(large.select("_mark"))
-    marked = rows.withColumn("_mark", mark)
-    usual = marked.join(large, "_mark", "left_anti").drop("_mark")
-    rest = marked.join(large, "_mark", "left_semi").drop("_mark")
-    return _ranked_summary(usual, keys).unionByName(_bucketed_summary(rest, keys))
+    usual, rest = by_size(rows, keys, hot)
+    return summarised(usual, rest, keys)
+
+
+def valued(df: DataFrame, keys: list[str], value: str, latest: str | None = None) -> DataFrame:
+    """Rows that have a value: the keys, ``_value`` and ``_latest``."""
+    newest = F.col(latest) if latest else F.lit(None)
+    return df.select(*keys, (F.col(value).cast("double") + F.lit(0.0)).alias("_value"), newest.alias("_latest")).filter("_value is not null")
+
+
+def summarised(usual: DataFrame, large: DataFrame, keys: list[str]) -> DataFrame:
+    """The summary of ``valued`` rows, told apart by whether a task can sort their groups."""
+    return _ranked_summary(usual, keys).unionByName(_bucketed_summary(large, keys))
 
 
 def _ranked_summary(rows: DataFrame, keys: list[str]) -> DataFrame:

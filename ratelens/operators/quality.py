@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratelens.functions.codes import HARD_FORMATS, code_issue, code_type_norm, validation_code
+from ratelens.operators.median import HOT_GROUP, by_size, counted_charges
 from ratelens.schemas import CONTRACT_COLUMNS
 from ratelens.sources.tables import broadcast_if_small, written
 
@@ -222,14 +223,20 @@ def missing_contract_columns(df: DataFrame) -> list[str]:
     return [c for c in CONTRACT_COLUMNS if c not in df.columns]
 
 
-def mixed_attributes(df: DataFrame, keys: list[str], attributes: list[str]) -> DataFrame:
-    """Groups whose rates may not be compared: an attribute that must agree has several values."""
-    distinct = df.select(*keys, *attributes).distinct()
-    counts = [
-        F.count_distinct(F.coalesce(F.col(a).cast("string"), F.lit("")))
-        .cast("int")
-        .alias(f"{a}_values")
+def mixed_attributes(df: DataFrame, keys: list[str], attributes: list[str], hot: int = HOT_GROUP) -> DataFrame:
+    """Groups whose rates may not be compared: an attribute that must agree has several values.
+
+    Rates are dealt by their group once; those of a charge stand side by side and so take little room. Groups of ``hot``
+    rows and more are told once a task before they are shuffled.
+    """
+    # The place of a value among those of its group: the last one's is how many there are, and no row is shuffled for it.
+    places = {
+        f"_{a}": F.dense_rank().over(Window.partitionBy(*keys).orderBy(F.coalesce(F.col(a).cast("string"), F.lit(""))))
         for a in attributes
-    ]
+    }
+    counts = [F.max(f"_{a}").alias(f"{a}_values") for a in attributes]
     several = reduce(lambda a, b: a | b, [F.col(f"{a}_values") > 1 for a in attributes])
-    return distinct.groupBy(*keys).agg(*counts).filter(several)
+    among, least = counted_charges(df, hot)
+    usual, large = by_size(df.select(*keys, *attributes), keys, least, among)
+    parts = [rows.distinct().withColumns(places).groupBy(*keys).agg(*counts).filter(several) for rows in (usual.repartition(*keys), large)]
+    return parts[0].unionByName(parts[1])
