@@ -396,14 +396,12 @@ def hospital_top_procedures(marts: Marts, hospital_id: str, limit: int = 50) ->
 
 def coverage_matrix(marts: Marts) -> DataFrame:
     """How many codes, payers and plans every hospital can be compared on."""
-    combinations = marts.agg_payer_plan_compare.groupBy(
-        "hospital_id", "billing_code", "payer_family", "plan_family"
-    ).agg(F.sum("row_count").alias("_rows"))
-    per_hospital = combinations.groupBy("hospital_id").agg(
+    # A task tells each code, payer and plan of a hospital once before they are shuffled.
+    per_hospital = marts.agg_payer_plan_compare.groupBy("hospital_id").agg(
         F.count_distinct("billing_code").alias("distinct_billing_codes"),
         F.count_distinct("payer_family").alias("distinct_payer_family"),
         F.count_distinct("plan_family").alias("distinct_plan_family"),
-        F.sum("_rows").alias("total_comparable_rows"),
+        F.sum("row_count").alias("total_comparable_rows"),
     )
     return (
         _with_names(per_hospital, marts.dim_hospital)
