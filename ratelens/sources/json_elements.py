@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ratelens.sources.files import decoded, encodings, scan, with_line_numbers
-from ratelens.sources.tables import written
+from ratelens.sources.tables import broadcast_if_small, written
 
 SEPARATOR = "}"
 SCALAR = r'(?:"[^"\\]*+(?:\\.[^"\\]*+)*+"|[-+.0-9eE]++|true|false|null)'
@@ -67,6 +67,8 @@ def depths(raw: DataFrame) -> DataFrame:
     both = both.withColumns(
         {f"upto{s}": F.coalesce(F.sum(f"step{s}").over(earlier), F.lit(0)) for s in (0, 1)}
     )
+    # Written before the blocks' totals are taken, as every text would be read, and its brackets counted, once more for them.
+    both = written(both.select("source_path", "block", "line_no", "text", "closed", "flips", "swaps", "step0", "step1", "upto0", "upto1"))
     totals = both.groupBy("source_path", "block").agg(*[F.sum(c).alias(f"all_{c}") for c in ("flips", "step0", "step1")])
     blocks = Window.partitionBy("source_path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     begun = totals.withColumn("start", F.coalesce(F.sum("all_flips").over(blocks), F.lit(0)) % 2)
@@ -74,6 +76,7 @@ def depths(raw: DataFrame) -> DataFrame:
     begun = begun.select(
         "source_path", "block", "start", F.coalesce(F.sum("step").over(blocks), F.lit(0)).alias("depth")
     )
+    begun = broadcast_if_small(written(begun))
     first = F.col("start") == 0
     before = F.col("depth") + F.when(first, F.col("upto0")).otherwise(F.col("upto1"))
     return both.join(begun, ["source_path", "block"]).select(
